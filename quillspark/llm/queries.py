@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quillspark.llm.decontamination import benchmark_hits
+from quillspark.llm.mixing import mix_sources
 from quillspark.llm.near_dup import near_duplicates
+from quillspark.llm.sharding import shard_documents
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -18,9 +22,29 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_read(spark, folder, "documents"), width=4, percent=80)
 
 
+def op7_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Shards 0 to 39 of all documents, law ``key``."""
+    return shard_documents(_read(spark, folder, "documents"), shards=40)
+
+
+def op9_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in all documents, each with its best window."""
+    return benchmark_hits(_read(spark, folder, "documents"), _read(spark, folder, "benchmark")).drop("distance")
+
+
+def op10_poisson_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies of all documents mixed by the square root of their source's size, in shuffled order."""
+    docs = _read(spark, folder, "documents").select("doc_id", "source", "n_chars")
+    mixed = mix_sources(docs, size=F.coalesce("n_chars", F.lit(0)), temperature=0.5)
+    return mixed.select("doc_id", "source", "n_chars", "copy", "shuffle_key")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
+        "op7_hash_tree_shards": op7_hash_tree_shards,
+        "op9_simhash_decontamination": op9_simhash_decontamination,
+        "op10_poisson_mixture": op10_poisson_mixture,
     }
 
 
@@ -54,5 +78,84 @@ FROM r LEFT JOIN n ON n.doc_id = r.root GROUP BY r.root
 """
 
 
+#: A draw of the hash tree: 52 bits of the MD5 of id and place, as a number in (0, 1).
+_DRAW = "((('0x' || substr(md5(d.doc_id || '|' || {place}), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
+
+_OP7 = f"""
+WITH steps AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+    b::BIGINT) ORDER BY b) AS t FROM range(256) r(b)),
+sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+summed AS (
+  SELECT doc_id, size, xor(list_reduce(list_transform(range(1, len(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
+  FROM sized, steps),
+ids AS (SELECT DISTINCT doc_id FROM documents),
+r AS (
+  SELECT d.doc_id, g.n, arg_min(c.r, (-ln({_DRAW.format(place="'r' || c.r")}) / least(8, 40 + g.n - c.r * 8), c.r)) AS region
+  FROM ids d, range(2) g(n), range(6) c(r) WHERE c.r < 5 + g.n GROUP BY 1, 2),
+k AS (
+  SELECT d.doc_id, d.n, d.region, arg_min(c.k, (-ln({_DRAW.format(place="'k' || d.region || '.' || c.k")}), c.k)) AS rack
+  FROM r d, range(2) c(k) WHERE d.region < 5 OR c.k = 0 GROUP BY 1, 2, 3),
+s AS (
+  SELECT d.doc_id, d.n, arg_min(c.s, (-ln({_DRAW.format(place="'s' || d.region || '.' || d.rack || '.' || c.s")}), c.s)) AS shard
+  FROM k d, range(41) c(s) WHERE c.s // 8 = d.region AND c.s % 8 // 4 = d.rack GROUP BY 1, 2)
+SELECT doc_id, size, text_crc32, 'key' AS law, a.shard::INTEGER AS shard, b.shard::INTEGER AS grown_shard,
+  row_number() OVER (PARTITION BY a.shard ORDER BY md5(doc_id::VARCHAR), doc_id, size, text_crc32) - 1 AS slot
+FROM summed JOIN s a USING (doc_id) JOIN s b USING (doc_id) WHERE a.n = 0 AND b.n = 1
+"""
+
+_OP10 = """
+WITH sizes AS (SELECT source, sum(coalesce(n_chars, 0))::DOUBLE AS size FROM documents GROUP BY source),
+rates AS (
+  SELECT source, sqrt(size) / (SELECT sum(sqrt(size)) FROM sizes) * (SELECT sum(size) FROM sizes) / size AS rate
+  FROM sizes WHERE size > 0),
+steps AS (
+  SELECT source, list(below ORDER BY k) AS steps FROM (
+    SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS below
+    FROM rates, range(96) r(k)) GROUP BY source),
+drawn AS (
+  SELECT doc_id, d.source, n_chars, len(list_filter(steps, lambda step: step <=
+    ((('0x' || substr(md5('17|' || doc_id || '|1'), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0)) AS n
+  FROM documents d JOIN steps s ON s.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, source, n_chars, copy::INTEGER AS copy, md5('order17|' || doc_id || '|' || copy) AS shuffle_key
+FROM (SELECT doc_id, source, n_chars, unnest(range(n)) AS copy FROM drawn)
+"""
+
+_OP9 = r"""
+WITH dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+bw AS (
+  SELECT item_id, list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM benchmark),
+b AS (SELECT item_id, ws, len(ws) AS n, least(5, len(ws)) AS w, len(ws) - least(5, len(ws)) + 1 AS m FROM bw WHERE len(ws) > 0),
+bs AS (SELECT item_id, w, array_to_string(ws[i + 1:i + w], ' ') AS g, count(*) AS c
+  FROM (SELECT item_id, ws, w, unnest(range(m)) AS i FROM b) GROUP BY 1, 2, 3),
+d AS (SELECT doc_id, ws, w, len(ws) AS dn FROM dw, (SELECT DISTINCT w FROM b) WHERE len(ws) >= w),
+ds AS (SELECT doc_id, w, i, array_to_string(ws[i + 1:i + w], ' ') AS g
+  FROM (SELECT doc_id, ws, w, unnest(range(dn - w + 1)) AS i FROM d)),
+hits AS (SELECT ds.doc_id, ds.i, ds.g, bs.item_id, bs.c FROM ds JOIN bs USING (w, g)),
+starts AS (
+  SELECT DISTINCT h.doc_id, h.item_id, unnest(range(greatest(0, h.i - m + 1), least(h.i, d.dn - least(b.n, d.dn)) + 1)) AS s
+  FROM hits h JOIN b USING (item_id) JOIN d ON d.doc_id = h.doc_id AND d.w = b.w),
+sizes AS (
+  SELECT starts.*, least(b.n, d.dn) AS n_words, least(b.n, d.dn) - b.w + 1 AS span, b.m
+  FROM starts JOIN b USING (item_id) JOIN d ON d.doc_id = starts.doc_id AND d.w = b.w),
+counts AS (
+  SELECT z.doc_id, z.item_id, z.s, z.n_words, z.span, z.m, h.g, least(count(*), any_value(h.c)) AS c
+  FROM sizes z JOIN hits h ON h.doc_id = z.doc_id AND h.item_id = z.item_id AND h.i BETWEEN z.s AND z.s + z.span - 1
+  GROUP BY ALL),
+sums AS (
+  SELECT doc_id, item_id, s AS start_word, n_words, sum(c)::BIGINT AS common, (span + m - sum(c))::BIGINT AS total
+  FROM counts GROUP BY doc_id, item_id, s, n_words, span, m)
+SELECT doc_id, item_id, start_word, n_words, common, total FROM sums WHERE 100 * common >= 80 * total
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common DESC, start_word) = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_near_dedup": _OP1}
+    return {"op1_minhash_near_dedup": _OP1, "op7_hash_tree_shards": _OP7, "op9_simhash_decontamination": _OP9, "op10_poisson_mixture": _OP10}
