@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quillspark.llm.decontamination import benchmark_hits
 from quillspark.llm.mixing import mix_sources
 from quillspark.llm.near_dup import near_duplicates
+from quillspark.llm.nearest import nearest_neighbours
 from quillspark.llm.sharding import shard_documents
 
 
@@ -22,6 +23,11 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_read(spark, folder, "documents"), width=4, percent=80)
 
 
+def op6_projection_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of all vectors for each whose id is divisible by 20."""
+    return nearest_neighbours(_read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Shards 0 to 39 of all documents, law ``key``."""
     return shard_documents(_read(spark, folder, "documents"), shards=40)
@@ -42,6 +48,7 @@ def op10_poisson_mixture(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
+        "op6_projection_neighbours": op6_projection_neighbours,
         "op7_hash_tree_shards": op7_hash_tree_shards,
         "op9_simhash_decontamination": op9_simhash_decontamination,
         "op10_poisson_mixture": op10_poisson_mixture,
