@@ -202,7 +202,7 @@ def nearest_neighbours(
     )
     asked = real.where("asks").select(
         "id", "vector", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
     )
     found = points.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInPandas(search, schema)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), id_col)

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.decontamination import benchmark_hits
+from quillspark.llm.html_blocks import extract_main_text
 from quillspark.llm.mixing import mix_sources
 from quillspark.llm.near_dup import near_duplicates
 from quillspark.llm.nearest import nearest_neighbours
 from quillspark.llm.sharding import shard_documents
+from quillspark.llm.toxicity import score_toxicity
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -23,6 +25,16 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_read(spark, folder, "documents"), width=4, percent=80)
 
 
+def op2_weakly_supervised_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels that are not held out."""
+    return score_toxicity(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
+def op5_block_rule_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract_main_text(_read(spark, folder, "pages"))
+
+
 def op6_projection_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest of all vectors for each whose id is divisible by 20."""
     return nearest_neighbours(_read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -48,6 +60,8 @@ def op10_poisson_mixture(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
+        "op2_weakly_supervised_toxicity": op2_weakly_supervised_toxicity,
+        "op5_block_rule_html": op5_block_rule_html,
         "op6_projection_neighbours": op6_projection_neighbours,
         "op7_hash_tree_shards": op7_hash_tree_shards,
         "op9_simhash_decontamination": op9_simhash_decontamination,
