@@ -51,22 +51,13 @@ def semi_join(frame: DataFrame, keys: DataFrame, on: str, rows: int = BROADCAST_
     return frame.join(F.broadcast(keys) if is_small(keys, rows) else keys, on, "left_semi")
 
 
-def lookup(frame: DataFrame, small: DataFrame, on: list[str], salts: int = 64, rows: int = 50_000) -> DataFrame:
-    """Left join to a table with one row per key, safe against hot keys.
+def lookup(frame: DataFrame, table: DataFrame, on: list[str], rows: int = 50_000) -> DataFrame:
+    """Left join to a table with one row per key: by broadcast behind a row count, else by sort and merge.
 
-    Up to ``rows`` rows the table is broadcast. Beyond that every key is
-    repeated once per salt and rows take a salt by their own hash, so that a
-    key with a third of all rows is spread over ``salts`` tasks.
+    Each row meets one row at most, so where a key holds very many rows
+    adaptive execution can split its partition and read the one row again.
     """
-    if is_small(small, rows):
-        return frame.join(F.broadcast(small), on, "left")
-    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rest = [c for c in frame.columns if frame.schema[c].dataType.simpleString()[:3] != "map"]
-    return (
-        frame.withColumn("_salt", F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int"))
-        .join(salted, [*on, "_salt"], "left")
-        .drop("_salt")
-    )
+    return frame.join(F.broadcast(table) if is_small(table, rows) else table, on, "left")
 
 
 def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:

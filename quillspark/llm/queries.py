@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.decontamination import benchmark_hits
 from quillspark.llm.html_blocks import extract_main_text
+from quillspark.llm.line_dedup import duplicate_lines
 from quillspark.llm.mixing import mix_sources
 from quillspark.llm.near_dup import near_duplicates
 from quillspark.llm.nearest import nearest_neighbours
+from quillspark.llm.quotes import as_mail, link_quotes, reply_order
 from quillspark.llm.sharding import shard_documents
+from quillspark.llm.token_counts import count_tokens
 from quillspark.llm.toxicity import score_toxicity
 
 
@@ -30,6 +33,25 @@ def op2_weakly_supervised_toxicity(spark: SparkSession, folder: str) -> DataFram
     return score_toxicity(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
 
 
+def op3_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    """Reply order of all conversations, found from quotations alone.
+
+    The turns are first written as mails that quote one another; the order in
+    which they answer is then read back from those quotations.
+    """
+    mails = as_mail(_read(spark, folder, "conversations"))
+    found = reply_order(link_quotes(mails, scope_col="scope"))
+    return found.select(
+        F.col("scope").alias("conv_id"), "message_id", "parent_id", "root_id", "depth", "position", "quote_levels",
+        F.md5(F.col("own_text").cast("binary")).alias("own_md5"),
+    )
+
+
+def op4_segment_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of all documents that repeat an earlier line up to one edit."""
+    return duplicate_lines(_read(spark, folder, "documents"))
+
+
 def op5_block_rule_html(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     return extract_main_text(_read(spark, folder, "pages"))
@@ -45,6 +67,11 @@ def op7_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(_read(spark, folder, "documents"), shards=40)
 
 
+def op8_separator_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of all documents, counted between separators of flat token files."""
+    return count_tokens(_read(spark, folder, "documents"))
+
+
 def op9_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items in all documents, each with its best window."""
     return benchmark_hits(_read(spark, folder, "documents"), _read(spark, folder, "benchmark")).drop("distance")
@@ -61,9 +88,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
         "op2_weakly_supervised_toxicity": op2_weakly_supervised_toxicity,
+        "op3_quotation_linking": op3_quotation_linking,
+        "op4_segment_line_dedup": op4_segment_line_dedup,
         "op5_block_rule_html": op5_block_rule_html,
         "op6_projection_neighbours": op6_projection_neighbours,
         "op7_hash_tree_shards": op7_hash_tree_shards,
+        "op8_separator_token_counts": op8_separator_token_counts,
         "op9_simhash_decontamination": op9_simhash_decontamination,
         "op10_poisson_mixture": op10_poisson_mixture,
     }
