@@ -17,8 +17,8 @@ from quillspark.llm.common import by_key, lookup, runs, semi_join, stash
 from quillspark.llm.graph import components
 from quillspark.llm.shingles import MinHasher, WordHashes, shingle_set
 
-#: Hashes compared at a time before the next look at the posterior.
-BATCH = 40
+#: Hashes of a signature that pairs are compared on, and how many before each look at the posterior.
+HASHES, BATCH = 1024, 64
 #: Pairs whose signatures are compared at once in a task (memory only).
 CHUNK = 1 << 16
 
@@ -66,42 +66,42 @@ def _features(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, hasher = WordHashes(), MinHasher(bands, rows)
         for batch in batches:
-            sizes, digests, signatures, keys = [], [], [], []
+            sizes, digests, keys = [], [], []
             for text in batch.column("text"):
                 shingles = shingle_set(text.as_py(), width, hashes)
                 sizes.append(len(shingles))
                 if len(shingles):
-                    signature = hasher.signature(shingles)
                     digests.append(xxhash.xxh3_128_digest(shingles.tobytes()))
-                    signatures.append(signature.astype(np.uint8).tobytes())
-                    keys.append(hasher.band_keys(signature))
+                    keys.append(hasher.band_keys(hasher.signature(shingles)))
                 else:
-                    for column in (digests, signatures, keys):
-                        column.append(None)
+                    digests.append(None)
+                    keys.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                    pa.array(signatures, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(keys, pa.list_(pa.int64())),
                 ],
-                ["id", "n_shingles", "digest", "signature", "bands"],
+                ["id", "n_shingles", "digest", "bands"],
             )
 
-    return docs.mapInArrow(each, "id long, n_shingles long, digest binary, signature binary, bands array<long>")
+    return docs.mapInArrow(each, "id long, n_shingles long, digest binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """Whole shingle sets of documents, and signatures that are independent of the bands."""
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, hasher = WordHashes(), MinHasher(HASHES, 1, seed=11)
         for batch in batches:
-            sets = [shingle_set(text.as_py(), width, hashes).tobytes() for text in batch.column("text")]
+            sets = [shingle_set(text.as_py(), width, hashes) for text in batch.column("text")]
+            signatures = [hasher.signature(x).astype(np.uint8).tobytes() for x in sets]
+            sets = [x.tobytes() for x in sets]
             digests = [xxhash.xxh3_128_digest(x) for x in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sets, pa.binary()), pa.array(digests, pa.binary())],
-                ["id", "shingles", "digest"],
-            )
+            columns = [pa.array(x, pa.binary()) for x in (sets, signatures, digests)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "shingles", "signature", "digest"])
 
-    sets = docs.mapInArrow(each, "id long, shingles binary, digest binary")
-    return sets.dropDuplicates(["id", "digest"]).select("id", "shingles")
+    sets = docs.mapInArrow(each, "id long, shingles binary, signature binary, digest binary")
+    return sets.dropDuplicates(["id", "digest"]).select("id", "shingles", "signature")
 
 
 def _both_ends(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -190,8 +190,9 @@ def near_duplicates(
       similarity 0.8 the default misses a pair with a chance of 5e-6.
     * Each band's members meet its most central member first (whose bands hold
       the most documents), then, block by block, the members that are still in
-      other components. Signatures are compared in batches; a pair goes once
-      its posterior chance of being similar is below ``miss``.
+      other components. Signatures of 1,024 further hashes are compared in
+      batches; a pair goes once its posterior chance of being similar is below
+      ``miss``.
     * What stays is confirmed on whole shingle sets (64-bit shingle hashes).
 
     Defined cases: a text with fewer words than ``width`` is one shingle; a
@@ -206,7 +207,7 @@ def near_duplicates(
     real = F.col("id").isNotNull() & F.col("digest").isNotNull()
     classes = seen.where(real).groupBy("digest").agg(F.min("id").alias("rep"))
     firsts = seen.where(real).join(classes, "digest").where("id = rep").dropDuplicates(["digest"])
-    firsts = stash(firsts.select("id", "n_shingles", "signature", "bands"), "firsts")
+    firsts = stash(firsts.select("id", "n_shingles", "bands"), "firsts")
 
     keyed = firsts.select(F.explode("bands").alias("key"), "id")
     crowded = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
@@ -214,12 +215,13 @@ def near_duplicates(
     busy = stash(shared.groupBy("id").agg(F.sum("members").alias("mass")), "busy")
     nodes = stash(semi_join(firsts, busy.select("id"), "id"), "nodes")
     sets = stash(_sets(semi_join(texts, busy.select("id"), "id"), width), "sets")
+    marks = sets.select("id", "signature")
 
     centre = shared.join(busy, "id").groupBy("key").agg(F.max(F.struct("mass", (-F.col("id")).alias("minus"))).alias("c"))
     centre = centre.select("key", (-F.col("c.minus")).alias("pivot"))
     star = shared.join(centre, "key").where("id <> pivot")
     star = star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    links = stash(_confirmed(_pruned(star, nodes, percent, miss), sets, percent), "links")
+    links = stash(_confirmed(_pruned(star, marks, percent, miss), sets, percent), "links")
 
     owners = stash(components(links), "owners").withColumnRenamed("id", "node")
     shared = stash(
@@ -239,7 +241,7 @@ def near_duplicates(
         .withColumn("block", F.pmod(F.xxhash64("id"), parts).cast("int"))
         .withColumn("cell", F.explode(cells))
         .select("key", "cell.low", "cell.high", "block", "id", "component")
-        .join(nodes, "id")
+        .join(nodes.join(marks, "id"), "id")
     )
     late = _confirmed(_cross_pairs(rest, percent, miss).distinct(), sets, percent)
     owners = components(links.unionByName(late)).withColumnRenamed("id", "rep")
