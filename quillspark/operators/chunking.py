@@ -99,10 +99,12 @@ def sections(text: str, level: int) -> tuple[str, list[tuple[str, str]]]:
     mark = "#" * level + " "
     lines = text.split("\n")
     at = [k for k, line in enumerate(lines) if line.startswith(mark)]
+    if not at:
+        return text.strip(), []
     found = [
         (lines[a][len(mark) :].strip(), "\n".join(lines[a + 1 : b]).strip()) for a, b in zip(at, [*at[1:], len(lines)], strict=True)
     ]
-    return "\n".join(lines[: at[0] if at else len(lines)]).strip(), found
+    return "\n".join(lines[: at[0]]).strip(), found
 
 
 def _said(header: str, body: str) -> str:

