@@ -174,6 +174,48 @@ SELECT doc_id, source, n_chars, copy::INTEGER AS copy, md5('order17|' || doc_id
 FROM (SELECT doc_id, source, n_chars, unnest(range(n)) AS copy FROM drawn)
 """
 
+_OP3 = r"""
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, text, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS norm,
+    lag(lower(trim(regexp_replace(text, '\s+', ' ', 'g')))) OVER (PARTITION BY conv_id ORDER BY turn) AS quoted,
+    least(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1, 2) AS quote_levels
+  FROM conversations),
+first AS (SELECT conv_id, norm, min(turn) AS parent FROM m GROUP BY 1, 2),
+p AS (
+  SELECT m.*, f.parent AS parent_id FROM m
+  LEFT JOIN first f ON f.conv_id = m.conv_id AND f.norm = m.quoted AND f.parent < m.turn),
+tree AS (
+  SELECT conv_id, turn, turn AS root_id, 0 AS depth FROM p WHERE parent_id IS NULL
+  UNION ALL
+  SELECT p.conv_id, p.turn, t.root_id, t.depth + 1 FROM p JOIN tree t ON t.conv_id = p.conv_id AND t.turn = p.parent_id)
+SELECT p.conv_id, p.turn AS message_id, p.parent_id, t.root_id, t.depth,
+  row_number() OVER (PARTITION BY p.conv_id, t.root_id ORDER BY t.depth, p.turn) - 1 AS position, p.quote_levels,
+  md5(trim(p.text, E' \n\r\t')) AS own_md5
+FROM p JOIN tree t USING (conv_id, turn)
+"""
+
+_OP4 = r"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, i AS line_no, trim(regexp_replace(parts[i + 1], '\s+', ' ', 'g')) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts, unnest(range(len(string_split(text, chr(10))))) AS i
+    FROM documents WHERE text <> '')),
+d AS (SELECT line, min((doc_id, line_no)) AS first FROM l WHERE line <> '' GROUP BY line),
+e AS (
+  SELECT a.line AS x, b.line AS y FROM d a JOIN d b ON len(b.line) BETWEEN len(a.line) AND len(a.line) + 1 AND a.line <> b.line
+  WHERE len(a.line) >= 16 AND (substr(a.line, 1, len(a.line) // 2) = substr(b.line, 1, len(a.line) // 2)
+    OR right(a.line, len(a.line) - len(a.line) // 2) = right(b.line, len(a.line) - len(a.line) // 2))
+    AND levenshtein(a.line, b.line) <= 1),
+links AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+r AS (SELECT x AS root, x AS node FROM links UNION SELECT r.root, links.y FROM r JOIN links ON links.x = r.node),
+c AS (SELECT root AS line, min(d.first) AS first FROM r JOIN d ON d.line = r.node GROUP BY root),
+gone AS (
+  SELECT l.doc_id, list_sort(list(DISTINCT l.line_no::INTEGER)) AS dropped FROM l JOIN d USING (line) LEFT JOIN c ON c.line = l.line
+  WHERE (l.doc_id, l.line_no) <> coalesce(c.first, d.first) GROUP BY l.doc_id)
+SELECT t.doc_id, CASE WHEN t.text <> '' THEN len(string_split(t.text, chr(10))) ELSE 0 END AS n_lines,
+  coalesce(len(g.dropped), 0) AS n_dropped, coalesce(g.dropped, []) AS dropped
+FROM documents t LEFT JOIN gone g USING (doc_id)
+"""
+
 _OP9 = r"""
 WITH dw AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
@@ -209,4 +251,6 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common DESC, st
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_near_dedup": _OP1, "op7_hash_tree_shards": _OP7, "op9_simhash_decontamination": _OP9, "op10_poisson_mixture": _OP10}
+    return {
+        "op1_minhash_near_dedup": _OP1, "op3_quotation_linking": _OP3, "op4_segment_line_dedup": _OP4, "op7_hash_tree_shards": _OP7, "op9_simhash_decontamination": _OP9, "op10_poisson_mixture": _OP10,
+    }
