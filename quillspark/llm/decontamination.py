@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.llm.common import is_small, stash
 from quillspark.llm.shingles import WordHashes, rolling
 
 #: Bits of a fingerprint.
@@ -54,7 +55,7 @@ class ItemIndex:
                 shingles = rolling(words, width)
                 mark = fingerprints(words, len(words), np.zeros(1, dtype=np.int64))[0]
                 self.items[len(words)].append((item_id, np.unique(shingles, return_counts=True), mark))
-                known[min(width, len(words))].append(shingles)
+                known[min(width, len(words))].append((shingles, np.full(len(shingles), len(words))))
         self.marks = {n: np.array([x[2] for x in found], dtype=np.uint64) for n, found in self.items.items()}
         self.tables: dict[tuple[int, int], dict[int, list[int]]] = {}
         for n, marks in self.marks.items():
@@ -62,11 +63,18 @@ class ItemIndex:
                 table = self.tables[n, b] = defaultdict(list)
                 for at, value in enumerate(((marks >> shift) & mask).tolist()):
                     table[value].append(at)
-        self.known = {w: np.unique(np.concatenate(x)) for w, x in known.items()}
-        self.filters = {}
-        for w, values in self.known.items():
-            self.filters[w] = np.zeros(_FILTER_BITS, dtype=bool)
-            self.filters[w][values & np.uint64(_FILTER_BITS - 1)] = True
+        # Of each shingle width: the benchmark's shingles, a bit filter, and the item sizes that hold each shingle.
+        self.known = {}
+        for w, pairs in known.items():
+            every, sizes = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            order = np.lexsort((sizes, every))
+            every, sizes = every[order], sizes[order]
+            first = np.append(True, (every[1:] != every[:-1]) | (sizes[1:] != sizes[:-1]))
+            every, sizes = every[first], sizes[first]
+            values, starts = np.unique(every, return_index=True)
+            bits = np.zeros(_FILTER_BITS, dtype=bool)
+            bits[values & np.uint64(_FILTER_BITS - 1)] = True
+            self.known[w] = (values, bits, np.append(starts, len(every)), sizes)
 
     def _within(self, n: int, marks: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(window, item, distance) of all pairs within the radius, by probing the blocks."""
@@ -84,43 +92,47 @@ class ItemIndex:
 
     def search(self, words: np.ndarray) -> list[tuple]:
         """(item, start, words, common, total, distance) of each item's best window."""
-        sums, shingles = {}, {}
-        for w, values in self.known.items():
-            if len(words) == 0:
-                continue
+        out: list[tuple] = []
+        for w, (values, bits, starts, sizes) in self.known.items() if len(words) else ():
             # A text shorter than the shingle width has one shingle, of its own width.
-            shingles[w] = rolling(words, w)
-            near = np.flatnonzero(self.filters[w][shingles[w] & np.uint64(_FILTER_BITS - 1)])
-            near = near[np.isin(shingles[w][near], values)]
+            shingles = rolling(words, w)
+            near = np.flatnonzero(bits[shingles & np.uint64(_FILTER_BITS - 1)])
+            at = np.minimum(np.searchsorted(values, shingles[near]), len(values) - 1)
+            hit = values[at] == shingles[near]
+            near, at = near[hit], at[hit]
             if len(near):
-                hits = np.zeros(len(shingles[w]) + 1, dtype=np.int64)
-                hits[near + 1] = 1
-                sums[w] = np.cumsum(hits)
-        out = []
-        for n, items in self.items.items() if sums else ():
-            w = min(self.width, n)
-            if w not in sums or len(words) < w:
-                continue
-            whole, size = n - w + 1, min(n, len(words))
-            span = size - w + 1
-            # A window similar enough holds this many shingles of the benchmark; others need no fingerprint.
-            starts = np.arange(len(words) - size + 1)
-            inside = sums[w][starts + span] - sums[w][starts]
-            starts = starts[100 * inside >= self.percent * whole]
-            if not len(starts):
-                continue
-            best: dict[int, tuple] = {}
-            low, high = starts[0], starts[-1] + size
-            marks = fingerprints(words[low:high], size, starts - low)
-            for window, item, distance in self._within(n, marks):
-                start = int(starts[window])
-                common = weighted_overlap(shingles[w][start : start + span], items[item][1])
-                total = whole + span - common
-                if 100 * common >= self.percent * total:
-                    best[item] = max(best.get(item, (-1, 0)), (common, -start, size, total, distance))
-            out += [(items[k][0], -s, size, common, total, d) for k, (common, s, size, total, d) in best.items()]
+                counts = starts[at + 1] - starts[at]
+                entry = np.repeat(starts[at] + counts - np.cumsum(counts), counts) + np.arange(counts.sum())
+                place, size = np.repeat(near, counts), sizes[entry]
+                for n in np.unique(size).tolist():
+                    if len(words) >= w and min(self.width, n) == w:
+                        out += self._best(words, shingles, n, w, place[size == n])
         return out
 
+    def _best(self, words: np.ndarray, shingles: np.ndarray, n: int, w: int, place: np.ndarray) -> list[tuple]:
+        """Best windows for the items of ``n`` words, given where the text has shingles of theirs."""
+        items, whole, size = self.items[n], n - w + 1, min(n, len(words))
+        span = size - w + 1
+        # A window similar enough holds this many of those shingles; others need no fingerprint.
+        least = -(-self.percent * whole // 100)
+        if len(place) < least:
+            return []
+        starts = np.arange(len(words) - size + 1)
+        inside = np.searchsorted(place, starts + span) - np.searchsorted(place, starts)
+        starts = starts[inside >= least]
+        if not len(starts):
+            return []
+        best: dict[int, tuple] = {}
+        low, high = starts[0], starts[-1] + size
+        marks = fingerprints(words[low:high], size, starts - low)
+        for window, item, distance in self._within(n, marks):
+            start = int(starts[window])
+            common = weighted_overlap(shingles[start : start + span], items[item][1])
+            total = whole + span - common
+            if 100 * common >= self.percent * total:
+                best[item] = max(best.get(item, (-1, 0)), (common, -start, size, total, distance))
+        return [(items[k][0], -s, size, common, total, d) for k, (common, s, size, total, d) in best.items()]
+
 
 def benchmark_hits(
     docs: DataFrame,
@@ -194,5 +206,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     All columns are kept. See ``benchmark_hits`` for what counts as held.
     """
     hits = benchmark_hits(docs, benchmark, id_col=id_col, text_col=text_col, **options)
-    bad = hits.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).cast("long") == F.col("_bad"), "left_anti")
+    bad = stash(hits.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_bad")).distinct(), "contaminated")
+    bad = F.broadcast(bad) if is_small(bad) else bad
+    return docs.join(bad, docs[id_col].cast("long") == bad["_bad"], "left_anti")
