@@ -30,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicates(docs, width=5, percent=80)
     gone = stash(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     gone = F.broadcast(gone) if is_small(gone) else gone
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,17 @@ def stash(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until no column of the frame has them (Spark ignores their case)."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def is_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a frame has at most ``rows`` rows; counts no further than that."""
     return frame.limit(rows + 1).count() <= rows

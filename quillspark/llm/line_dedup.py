@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import by_key, is_small, lookup, runs, stash
+from quillspark.llm.common import by_key, is_small, lookup, runs, stash, unused
 from quillspark.llm.graph import components
 
 #: Bins of the letter counts that are compared before two lines are aligned.
@@ -288,8 +288,10 @@ def duplicate_lines(
 
 def drop_lines(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents without the lines that ``duplicate_lines`` found; all columns are kept, untouched lines unchanged."""
-    marked = found.where("n_dropped > 0 and " + f"`{id_col}` is not null").select(F.col(id_col).alias("_id"), F.col("dropped").alias("_dropped"))
-    joined = docs.join(marked.dropDuplicates(["_id"]), F.col(id_col) == F.col("_id"), "left")
-    kept = F.filter(F.split(text_col, "\n"), lambda line, k: ~F.array_contains("_dropped", k))
-    text = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    key, gone = unused(docs, "_id", "_dropped")
+    marked = found.where((F.col("n_dropped") > 0) & F.col(id_col).isNotNull())
+    marked = marked.select(F.col(id_col).alias(key), F.col("dropped").alias(gone)).dropDuplicates([key])
+    joined = docs.join(marked, docs[id_col] == marked[key], "left")
+    kept = F.filter(F.split(text_col, "\n"), lambda line, k: ~F.array_contains(gone, k))
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     return joined.withColumn(text_col, text).select(*docs.columns)

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import lookup, stash
+from quillspark.llm.common import lookup, stash, unused
 
 #: Largest mean of one draw; a larger rate is the sum of several draws.
 PIECE = 16.0
@@ -52,12 +52,11 @@ def source_rates(
         entries = [x for name, w in weights.items() for x in (F.lit(name), F.lit(float(w)))]
         want = F.coalesce(F.element_at(F.create_map(*entries), F.coalesce("source", F.lit("\0"))), F.lit(0.0))
     sizes = stash(sizes.withColumn("want", want), "sizes")
-    sums = sizes.agg(F.sum("want").alias("all_want"), F.sum("size").alias("all_size"))
-    share = F.when(F.col("all_want") > 0, F.col("want") / F.col("all_want")).otherwise(0.0)
-    whole = F.col("all_size") if budget is None else F.lit(float(budget))
+    all_want, all_size = sizes.agg(F.sum("want"), F.sum("size")).first()
+    share = F.col("want") / F.lit(all_want) if all_want else F.lit(0.0)
+    whole = F.lit(float(all_size or 0) if budget is None else float(budget))
     rate = F.when(F.col("size") > 0, F.col("share") * whole / F.col("size")).otherwise(0.0)
-    one_row = F.broadcast(sums)  # a single row of two sums
-    return sizes.crossJoin(one_row).withColumn("share", share).withColumn("rate", rate).select("source", "size", "share", "rate")
+    return sizes.withColumn("share", share).withColumn("rate", rate).select("source", "size", "share", "rate")
 
 
 def _steps(rate: Column) -> tuple[Column, Column]:
@@ -102,22 +101,21 @@ def replicate(
     alike; null sources are one source; columns of the input named like an
     output column are replaced; an empty table gives an empty result.
     """
-    pieces, steps = _steps(F.col("rate"))
-    steps_of = rates.select(
-        F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("_source"), pieces.alias("_pieces"), steps.alias("_steps")
-    )
-    ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     kept = docs.drop(copy_col, order_col)
-    named = kept.withColumn("_source", F.coalesce(F.col(source_col).cast("string"), F.lit("\0")))
-    drawn = lookup(named, stash(steps_of, "rates"), ["_source"]).where("_pieces is not null")
+    source, pieces, steps, number = unused(kept, "_source", "_pieces", "_steps", "_count")
+    of_rate = _steps(F.col("rate"))
+    named = lambda column: F.coalesce(F.col(column).cast("string"), F.lit("\0")).alias(source)
+    steps_of = rates.select(named("source"), of_rate[0].alias(pieces), of_rate[1].alias(steps))
+    drawn = lookup(kept.select("*", named(source_col)), stash(steps_of, "rates"), [source]).where(F.col(pieces).isNotNull())
+    ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
 
     def once(piece: Column) -> Column:
         u = draw(F.lit(str(seed)), ident, piece.cast("string"))
-        return F.size(F.filter("_steps", lambda step: step <= u))
+        return F.size(F.filter(steps, lambda step: step <= u))
 
-    count = F.aggregate(F.sequence(F.lit(1), F.col("_pieces")), F.lit(0), lambda acc, piece: acc + once(piece))
-    copies = drawn.withColumn("_count", count).where("_count > 0")
-    copies = copies.withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
+    count = F.aggregate(F.sequence(F.lit(1), F.col(pieces)), F.lit(0), lambda acc, piece: acc + once(piece))
+    copies = drawn.withColumn(number, count).where(F.col(number) > 0)
+    copies = copies.withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col(number) - 1)))
     mixed = F.md5(F.concat_ws("|", F.lit(f"order{seed}"), ident, F.col(copy_col).cast("string")).cast("binary"))
     return copies.withColumn(order_col, mixed).select(*kept.columns, copy_col, order_col).orderBy(order_col)
 

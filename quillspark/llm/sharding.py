@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import is_small, stash
+from quillspark.llm.common import is_small, stash, unused
 
 #: Hex digits of a hash that make a draw: 52 bits, exact in a double.
 _DIGITS = 13
@@ -87,17 +87,18 @@ def assign_shards(docs: DataFrame, tree: list[Leaf], *, key: str = "doc_id", sha
     if not tree or any(x.weight <= 0 for x in tree) or len({x.shard for x in tree}) < len(tree):
         raise ValueError("shards must be distinct and have positive weights")
     text = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    region, rack = F.col("_region"), F.col("_rack")
+    region_name, rack_name = unused(docs, "_region", "_rack")
+    region, rack = F.col(region_name), F.col(rack_name)
     regions = _total(tree, "region")
     racks = {r: _total([x for x in tree if x.region == r], "rack") for r in regions}
     leaves = {(r, k): _total([x for x in tree if (x.region, x.rack) == (r, k)], "shard") for r in racks for k in racks[r]}
     of_rack = [(region == r, _pick(text, racks[r], f"k{r}.")) for r in racks]
     of_shard = [((region == r) & (rack == k), _pick(text, leaves[r, k], f"s{r}.{k}.")) for r, k in leaves]
     return (
-        docs.withColumn("_region", _pick(text, regions, "r"))
-        .withColumn("_rack", _switch(of_rack))
+        docs.withColumn(region_name, _pick(text, regions, "r"))
+        .withColumn(rack_name, _switch(of_rack))
         .withColumn(shard, _switch(of_shard).cast("int"))
-        .drop("_region", "_rack")
+        .drop(region_name, rack_name)
     )
 
 

@@ -312,8 +312,8 @@ def score_toxicity(
         chance = model.posterior((marks[:, :1] >> np.arange(len(VOTERS))) & 1, marks[:, 1])
         rows = [(r.features, y) for r, y in zip(taught, chance.tolist(), strict=True)]
     weights = fit_classifier(rows, Reader(terms.value).size)
-    if not rows:  # the label model alone: votes weigh by their log odds
-        weights[-1] = np.log(model.prior / (1 - model.prior))
+    if not rows:  # without labels any fixed lexicon or pattern that fires marks a text
+        weights[-1] = -2.0
         weights[len(terms.value) : len(terms.value) + len(VOTERS)] = 4.0
     held = spark.sparkContext.broadcast(weights)
 
@@ -337,4 +337,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
     scored = score_toxicity(docs, labels, id_col=id_col, text_col=text_col, **options)
     bad = stash(scored.where("predicted = 1").select(F.col(id_col).alias("_bad")).distinct(), "toxic")
     bad = F.broadcast(bad) if is_small(bad) else bad
-    return docs.join(bad, F.col(id_col) == F.col("_bad"), "left_anti")
+    return docs.join(bad, docs[id_col] == bad["_bad"], "left_anti")
