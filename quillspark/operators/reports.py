@@ -35,7 +35,9 @@ def message_results(chunks: DataFrame, to_index: DataFrame, gates: DataFrame) ->
 
 
 def index_report(to_index: DataFrame, skipped: DataFrame) -> DataFrame:
-    return to_index.agg(F.count("*").alias("upserted")).crossJoin(F.broadcast(skipped.agg(F.count("*").alias("skipped"))))  # two single rows
+    """One row: how many chunks were upserted and how many skipped."""
+    both = to_index.select(F.lit(True).alias("up")).unionByName(skipped.select(F.lit(False).alias("up")))
+    return both.agg(F.count_if("up").alias("upserted"), F.count_if(~F.col("up")).alias("skipped"))
 
 
 def job_totals(results: DataFrame) -> DataFrame:
