@@ -95,7 +95,7 @@ def windows_brute(docs, items, width=5, percent=80):
             w = min(width, len(item))
             bag = lambda seq, w=w: Counter(tuple(seq[k : k + w]) for k in range(len(seq) - w + 1))
             size = min(len(item), len(words))
-            if size < w:
+            if size < w or not bag(words) & bag(item):
                 continue
             best = max((sum((bag(words[s : s + size]) & bag(item)).values()), -s) for s in range(len(words) - size + 1))
             total = len(item) - w + 1 + size - w + 1 - best[0]
