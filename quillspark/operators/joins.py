@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import DEFAULT_DOC_TYPE
+from quillspark.functions.text import DEFAULT_DOC_TYPE, sample_text
+
+Classifier = Callable[[list[str]], list[tuple[str, float] | None]]
 
 #: A side is broadcast up to so many rows; beyond that the join shuffles.
 SMALL_ROWS = 100_000
@@ -123,6 +128,33 @@ def new_job_requests(requests: DataFrame, jobs: DataFrame) -> DataFrame:
     return requests.dropDuplicates(["job_id"]).join(taken, "job_id", "left_anti")
 
 
+def classify_spaces(pages: DataFrame, load: Callable[[], Classifier]) -> DataFrame:
+    """(space_key, dominant, confidence) by one sample page per space, the one with the smallest id.
+
+    ``load`` gives, once per worker, a callable from sample texts to (type,
+    confidence) pairs; None for a text that it cannot classify.
+    """
+    sample = sample_text(F.col("title"), F.col("labels"), F.col("body_html"))
+    samples = pages.groupBy("space_key").agg(F.min_by(sample, "page_id").alias("sample"))
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = load()
+        for batch in batches:
+            found = [x or (None, None) for x in model(batch["sample"].tolist())]
+            kinds, sure = zip(*found, strict=True) if found else ((), ())
+            yield pd.DataFrame({"space_key": batch.space_key, "dominant": kinds, "confidence": pd.array(sure, dtype="Float64")})
+
+    return samples.mapInPandas(each, "space_key string, dominant string, confidence double")
+
+
+def union_trash(batches: list[DataFrame]) -> DataFrame:
+    """Distinct (kind, id) of trash listings of several spaces and result pages."""
+    first, *others = (b.select("kind", "id") for b in batches)
+    for other in others:
+        first = first.unionByName(other)
+    return first.distinct()
+
+
 def union_delete_candidates(delta: DataFrame, trash: DataFrame, webhook: DataFrame, *, confirm: bool) -> DataFrame:
     """Distinct (kind, id) of the three triggers; the delta's only if confirmed."""
     ids = trash.select("kind", "id").unionByName(webhook.select("kind", "id"))

@@ -623,6 +623,89 @@ def st04(spark: SparkSession, folder: str) -> DataFrame:
     return streams.stream_job_status(progress)
 
 
+@query(
+    "fn06_point_payload",
+    f"""WITH {_CHUNKS} SELECT chunk_id, page_id, version_number, false AS is_deleted, substr(text, 1, 200) AS text_preview FROM chunks_v WHERE chunk_index < 2""",
+)
+def fn06(spark: SparkSession, folder: str) -> DataFrame:
+    chunks = _line_chunks(spark, folder).where("chunk_index < 2")
+    return indexing.point_payload(chunks).select("chunk_id", "page_id", "version_number", "is_deleted", "text_preview")
+
+
+@query(
+    "fn23_resolve_header",
+    """SELECT (l_orderkey % 20)::VARCHAR AS attachment_id, ['key', 'col_2', 'flag', 'col_4'] AS header, 1 AS first FROM lineitem GROUP BY 1""",
+)
+def fn23(spark: SparkSession, folder: str) -> DataFrame:
+    """Sheets that start with a row of names, one of them blank."""
+    key = (F.col("l_orderkey") % 20).cast("string").alias("attachment_id")
+    items = views.table(spark, folder, "lineitem")
+    none = F.lit(None).cast("string")
+    rows = items.select(key, F.lit("s").alias("sheet_name"), (F.col("l_orderkey") + 1).alias("row_no"), F.array(F.col("l_orderkey").cast("string"), F.lit("1"), F.col("l_returnflag"), none).alias("cells"))
+    heads = items.select(key).distinct().select("attachment_id", F.lit("s").alias("sheet_name"), F.lit(0).cast("long").alias("row_no"), F.array(F.lit(" key"), F.lit(" "), F.lit("flag")).alias("cells"))
+    return layout.resolve_header(heads.unionByName(rows)).select("attachment_id", "header", F.col("first").cast("int").alias("first"))
+
+
+@query("chk10_size_rules")
+def chk10(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents as atomic drafts under the size rules: long ones come in numbered parts."""
+    pages = views.pages(spark, folder)
+    drafts = chunking.drafts_column(F.col("body_html"), F.lit("adr"), is_html=False)
+    rows = chunking.number_chunks(pages.select("page_id", drafts.alias("drafts")))
+    return rows.select("page_id", "chunk_index", "section_header", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query(
+    "set03_union_trash",
+    "SELECT DISTINCT CASE WHEN event_type = 'view' THEN 'attachment' ELSE 'page' END AS kind, user_id::VARCHAR AS id FROM events WHERE event_type IN ('view', 'error')",
+)
+def set03(spark: SparkSession, folder: str) -> DataFrame:
+    events = views.table(spark, folder, "events")
+    part = lambda kind, name: events.where(F.col("event_type") == kind).select(F.lit(name).alias("kind"), F.col("user_id").cast("string").alias("id"))
+    return joins.union_trash([part("view", "attachment"), part("error", "page"), part("view", "attachment")])
+
+
+@query("udf01_encoder", f"WITH {PAGES} SELECT DISTINCT space_key AS text, [len('passage: ' || space_key)::DOUBLE, 1.0] AS dense FROM pages_v")
+def udf01(spark: SparkSession, folder: str) -> DataFrame:
+    """A model that is loaded once per worker, run on distinct texts."""
+    load = lambda: lambda texts: [[float(len(x)), 1.0] for x in texts]
+    return indexing.encode_distinct(views.pages(spark, folder).select(F.col("space_key").alias("text")), load)
+
+
+@query(
+    "udf02_space_classifier",
+    f"""WITH {PAGES}, s AS (SELECT space_key, arg_min(title || chr(10) || array_to_string(labels, ', ') || chr(10) || substr(body_html, 1, 2000), page_id) AS t FROM pages_v GROUP BY 1)
+    SELECT space_key, CASE len(t) % 3 WHEN 0 THEN 'faq' WHEN 1 THEN 'adr' END AS dominant, CASE len(t) % 3 WHEN 0 THEN 0.9 WHEN 1 THEN 0.4 END AS confidence FROM s""",
+)
+def udf02(spark: SparkSession, folder: str) -> DataFrame:
+    """A stand-in classifier that goes by the length of the sample."""
+    load = lambda: lambda texts: [(("faq", 0.9), ("adr", 0.4), None)[len(x) % 3] for x in texts]
+    return joins.classify_spaces(views.pages(spark, folder), load)
+
+
+@query("snk04_points_by_pool", f"WITH {PAGES} SELECT pool, count(*) AS points FROM pages_v, (SELECT unnest(['title', 'content', 'label']) AS pool) GROUP BY pool")
+def snk04(spark: SparkSession, folder: str) -> DataFrame:
+    """Points written by pool and read back, with a log that is appended to."""
+    path = store.shared_path(spark, "points")
+    pages = views.pages(spark, folder)
+    points = pages.select("page_id", F.explode(F.array(*map(F.lit, ("title", "content", "label")))).alias("pool"))
+    store.write_points(points, path)
+    log = store.shared_path(spark, "log")
+    store.append_records(points.select("page_id", "pool"), log)
+    store.append_records(points.select("page_id", "pool").where("false"), log)
+    return spark.read.parquet(path).join(spark.read.parquet(log), ["page_id", "pool"]).groupBy("pool").agg(F.count("*").alias("points"))
+
+
+@query("syn02_seed_snapshot", f"WITH {SNAPSHOTS} SELECT page_id, version_number FROM before_v")
+def syn02(spark: SparkSession, folder: str) -> DataFrame:
+    """A baseline that a complete crawl writes, and an incomplete one does not."""
+    listing, _ = views.snapshots(spark, folder)
+    path = store.shared_path(spark, "snapshot")
+    assert not indexing.seed_snapshot(listing, listing.where("cast(page_id as long) % 2 = 0"), path)
+    assert indexing.seed_snapshot(listing, listing, path)
+    return spark.read.parquet(path).select("page_id", "version_number")
+
+
 @query("flagship_tokens_by_space")
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Chunks and tokens of each space: pages through the access gate and the chunker."""
