@@ -34,12 +34,13 @@ def plain(value):
 def test_query(spark, folder, duck, name):
     frame = QUERIES[name](spark, folder)
     columns = sorted(frame.columns)
-    got = sorted(tuple(plain(row[c]) for c in columns) for row in (r.asDict(recursive=True) for r in frame.collect()))
+    got = sorted((tuple(plain(row[c]) for c in columns) for row in (r.asDict(recursive=True) for r in frame.collect())), key=repr)
     assert name not in SQL or SQL[name]
     if name in SQL:
         found = duck.execute(SQL[name])
         names = [x[0] for x in found.description]
         assert sorted(names) == columns
-        assert got == sorted(tuple(plain(dict(zip(names, row, strict=True))[c]) for c in columns) for row in found.fetchall())
+        want = [tuple(plain(dict(zip(names, row, strict=True))[c]) for c in columns) for row in found.fetchall()]
+        assert got == sorted(want, key=repr)
     else:
         assert got
