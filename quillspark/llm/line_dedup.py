@@ -16,6 +16,10 @@ from quillspark.llm.graph import components
 
 #: Bins of the letter counts that are compared before two lines are aligned.
 _BINS = 32
+#: Where the edits grow with length: a window of as many grams as a run of ``SPAN`` characters holds gives one key.
+SPAN, GRAM = 24, 12
+#: Characters whose grams are hashed at once; some ten arrays of eight bytes each.
+_LETTERS = 500_000
 
 
 def within_edits(left: str, right: str, limit: int) -> bool:
@@ -174,6 +178,67 @@ def _texts_of(texts: DataFrame, least: int) -> DataFrame:
     return texts.mapInArrow(each, "h long, line string")
 
 
+def allowed(size, limit: int, growing: bool):
+    """Edits that a pair may be apart whose shorter line has that many characters (a number or an array)."""
+    return np.maximum(limit, size // SPAN - 1) if growing else limit + 0 * size
+
+
+def window_minima(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key): for each run of ``SPAN`` characters of a line the least hash of its grams, each once.
+
+    Lines with an equal run of ``SPAN`` characters share a key, wherever it lies.
+    """
+    letters = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    sizes = np.array([len(x) for x in lines], dtype=np.int64)
+    starts, count = np.cumsum(sizes) - sizes, np.maximum(sizes - SPAN + 1, 0)
+    if not count.sum():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    odd = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
+    one = (letters + odd[1]) * odd[0]
+    one ^= one >> np.uint64(31)
+    two = one[:-1] * odd[1] + one[1:]
+    four = two[:-2] * odd[2] + two[2:]
+    eight = four[:-4] * odd[3] + four[4:]
+    gram = eight[:-4] * odd[4] + four[8:]
+    gram ^= gram >> np.uint64(32)
+    gram *= odd[1]
+    gram ^= gram >> np.uint64(29)
+    least, width, wanted = gram, 1, SPAN - GRAM + 1
+    while width < wanted:
+        step = min(width, wanted - width)
+        least, width = np.minimum(least[:-step], least[step:]), width + step
+    owner = np.repeat(np.arange(len(lines)), count)
+    least = least[np.arange(len(owner)) + np.repeat(starts - (np.cumsum(count) - count), count)].view(np.int64)
+    changed = np.flatnonzero((least[1:] != least[:-1]) | (owner[1:] != owner[:-1])) + 1
+    first = np.concatenate([[0], changed])
+    return owner[first], least[first]
+
+
+def _minima(texts: DataFrame, least: int) -> DataFrame:
+    """(key, h) of every line of at least that many characters."""
+
+    def keyed(found: list[tuple[str, int]]) -> pa.RecordBatch:
+        owner, keys = window_minima([x for x, _ in found])
+        hashes = np.array([h for _, h in found], dtype=np.int64)[owner]
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(hashes)], ["key", "h"])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, held, done = [], 0, set()
+            for text in batch.column("text"):
+                for line in lines_of(text.as_py()):
+                    if len(line) >= least and (h := _hash(line)[0]) not in done:
+                        done.add(h)
+                        found.append((line, h))
+                        held += len(line)
+                if held > _LETTERS:
+                    yield keyed(found)
+                    found, held = [], 0
+            yield keyed(found)
+
+    return texts.mapInArrow(each, "key long, h long")
+
+
 def _counts(lines: list[str]) -> np.ndarray:
     table = np.zeros((len(lines), _BINS), dtype=np.int16)
     for k, line in enumerate(lines):
@@ -181,7 +246,55 @@ def _counts(lines: list[str]) -> np.ndarray:
     return table
 
 
-def _verified(members: DataFrame, limit: int) -> DataFrame:
+def _signed(lines: DataFrame) -> DataFrame:
+    """(h, size, counts) of lines: what rules pairs out before their texts are moved."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column("line").to_pylist()
+            table = np.minimum(_counts(found), 255).astype(np.uint8)
+            sizes = pa.array([len(x) for x in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("h"), sizes, pa.array([x.tobytes() for x in table], pa.binary())], ["h", "size", "counts"])
+
+    return lines.select("h", "line").mapInArrow(each, "h long, size int, counts binary")
+
+
+def _possible(members: DataFrame, limit: int) -> DataFrame:
+    """(key, h) of the members that lengths and letter counts leave a partner in their key."""
+    order = ["key", "low", "high"]
+
+    def partners(rows: pd.DataFrame) -> pd.DataFrame:
+        keys, sizes, part = rows[order].to_numpy(), rows["size"].to_numpy().astype(np.int64), rows.block.to_numpy()
+        table = np.frombuffer(b"".join(rows.counts), dtype=np.uint8).reshape(-1, _BINS).astype(np.int16)
+        tau, kept = allowed(sizes, limit, True), np.zeros(len(rows), dtype=bool)
+        at, step = np.arange(len(rows)), 0
+        while len(at):  # rows are sorted by size: a row is done once the next one is too long or of another group
+            step += 1
+            at = at[at + step < len(rows)]
+            at = at[(keys[at] == keys[at + step]).all(axis=1) & (sizes[at + step] - sizes[at] <= tau[at])]
+            pair = at[(keys[at, 1] == keys[at, 2]) | (part[at] != part[at + step])]
+            pair = pair[np.abs(table[pair] - table[pair + step]).sum(axis=1) <= 2 * tau[pair]]
+            kept[pair] = kept[pair + step] = True
+        return rows.loc[kept, ["key", "h"]]
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            last = (held[order] != held[order].iloc[-1]).any(axis=1).to_numpy().nonzero()[0]
+            if len(last):  # the last group may go on in the next batch
+                yield partners(held.iloc[: last[-1] + 1])
+                held = held.iloc[last[-1] + 1 :].reset_index(drop=True)
+        if held is not None:
+            yield partners(held)
+
+    dealt = members.repartition(*order).sortWithinPartitions(*order, "size")
+    return dealt.mapInPandas(each, "key long, h long").distinct()
+
+
+def _verified(members: DataFrame, limit: int, growing: bool = False) -> DataFrame:
     """Links within each key's members, block against block: enough to connect what is connected.
 
     Lengths and letter counts rule pairs out at once; two lines that earlier
@@ -203,15 +316,16 @@ def _verified(members: DataFrame, limit: int) -> DataFrame:
 
             links = []
             for i in range(len(ids) - 1):
-                near = np.abs(sizes[i + 1 :] - sizes[i]) <= limit
+                tau = allowed(np.minimum(sizes[i + 1 :], sizes[i]), limit, growing)
+                near = np.abs(sizes[i + 1 :] - sizes[i]) <= tau
                 if group.low.iat[0] != group.high.iat[0]:
                     near &= part[i + 1 :] != part[i]
                 others = i + 1 + np.flatnonzero(near)
                 # An edit changes the counts by two at most.
-                others = others[np.abs(table[others].astype(np.int32) - table[i]).sum(axis=1) <= 2 * limit]
+                others = others[np.abs(table[others].astype(np.int32) - table[i]).sum(axis=1) <= 2 * tau[others - i - 1]]
                 for j in others.tolist():
                     x, y = find(i), find(j)
-                    if x != y and within_edits(lines[i], lines[j], limit):
+                    if x != y and within_edits(lines[i], lines[j], int(tau[j - i - 1])):
                         root[y] = x
                         links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
             yield pd.DataFrame(links, columns=["a", "b"]).astype("int64")
@@ -219,6 +333,21 @@ def _verified(members: DataFrame, limit: int) -> DataFrame:
     return by_key(members, ["key", "low", "high"]).mapInPandas(each, "a long, b long")
 
 
+def _dealt(members: DataFrame, block: int) -> DataFrame:
+    """(key, low, high, block, h): the members of each key in pairs of blocks."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts"))
+    cells = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1),
+        lambda other: F.struct(F.least("block", other).alias("low"), F.greatest("block", other).alias("high")),
+    )
+    return (
+        members.join(sizes, "key")
+        .withColumn("block", F.pmod(F.xxhash64("h"), "parts").cast("int"))
+        .withColumn("cell", F.explode(cells))
+        .select("key", "cell.low", "cell.high", "block", "h")
+    )
+
+
 def line_links(texts: DataFrame, limit: int, least: int, block: int = 1024) -> DataFrame:
     """Links between different lines of a table (``id``, ``text``), as pairs of line hashes."""
     keys = _keys(texts, limit, least)
@@ -229,23 +358,33 @@ def line_links(texts: DataFrame, limit: int, least: int, block: int = 1024) -> D
     wanted = members.select("h").distinct()
     wanted = F.broadcast(wanted) if is_small(wanted) else wanted
     lines = _texts_of(texts, least).join(wanted, "h", "left_semi").groupBy("h").agg(F.min("line").alias("line"))
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts"))
-    cells = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda other: F.struct(F.least("block", other).alias("low"), F.greatest("block", other).alias("high")),
-    )
-    dealt = (
-        members.join(sizes, "key")
-        .withColumn("block", F.pmod(F.xxhash64("h"), "parts").cast("int"))
-        .withColumn("cell", F.explode(cells))
-        .select("key", "cell.low", "cell.high", "block", "h")
-        .join(stash(lines, "lines"), "h")
+    return _verified(_dealt(members, block).join(stash(lines, "lines"), "h"), limit)
+
+
+def grown_links(texts: DataFrame, limit: int, least: int, block: int = 1024) -> DataFrame:
+    """Links between lines that are long enough to be more than ``limit`` edits apart.
+
+    ``allowed`` edits leave a run of ``SPAN`` characters of the shorter line
+    unchanged, so the two share a window's least gram; keys grow with the
+    characters and not with the edits. Texts are moved only for members that
+    lengths and letter counts leave a partner.
+    """
+    least = max(least, SPAN * (limit + 2))
+    low32 = F.shiftright("h", 32).cast("int")
+    keys = _minima(texts, least)
+    met = keys.groupBy("key").agg(F.min(low32).alias("x"), F.max(low32).alias("y"))
+    crowded = stash(met.where("x <> y").select("key"), "grown_crowded")
+    members = stash(keys.join(F.broadcast(crowded) if is_small(crowded) else crowded, "key", "left_semi").distinct(), "grown_members")
+    lines = lambda wanted: (
+        _texts_of(texts, least).join(F.broadcast(wanted) if is_small(wanted) else wanted, "h", "left_semi").groupBy("h").agg(F.min("line").alias("line"))
     )
-    return _verified(dealt, limit)
+    signed = stash(_signed(lines(members.select("h").distinct())), "grown_signed")
+    possible = stash(_possible(_dealt(members, block).join(signed, "h"), limit), "grown_possible")
+    return _verified(_dealt(possible, block).join(stash(lines(possible.select("h").distinct()), "grown_lines"), "h"), limit, growing=True)
 
 
 def duplicate_lines(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits: int = 1, least: int = 16
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits: int = 1, least: int = 16, growing: bool = False
 ) -> DataFrame:
     """Per document: its lines and those that repeat an earlier line, of its own or another document.
 
@@ -253,14 +392,16 @@ def duplicate_lines(
     trimmed. Lines are alike if equal, or, from ``least`` characters on, if at
     most ``edits`` edits apart; classes are what chains of alike lines connect.
     Of each class the first line by id and place stays, all others are
-    dropped. Blank lines are never dropped. Returns one row per input row: the
+    dropped. With ``growing``, the shorter line of a pair also allows one edit
+    for every ``SPAN`` characters it has, less one. Blank lines are never dropped. Returns one row per input row: the
     id column, ``n_lines``, ``n_dropped`` and ``dropped`` (line numbers from 0,
     ascending).
 
     Index keys are the ``edits + 1`` segments of a line with its length, probe
     keys the substrings at which a segment of an equally long or shorter line
     can lie. Keys are first counted without their lines; only lines that meet
-    in a key are brought together, in blocks, and verified.
+    in a key are brought together, in blocks, and verified. Where edits grow,
+    longer lines meet in window minima as well (``grown_links``).
 
     Defined cases: a null or empty text has no lines. Rows with a null id sort
     first. Repeated rows are one document: they get the same numbers. Several
@@ -271,7 +412,10 @@ def duplicate_lines(
     seen = stash(_occurrences(texts), "occurrences")
     first = F.min(F.struct("id", "line_no")).alias("first")
     single = stash(seen.groupBy("h", "h2").agg(first, F.count("*").alias("n")), "distinct")
-    owners = components(stash(line_links(texts, edits, least), "line_links")).withColumnRenamed("id", "h")
+    links = line_links(texts, edits, least)
+    if growing:
+        links = links.unionByName(grown_links(texts, edits, least)).distinct()
+    owners = components(stash(links, "line_links")).withColumnRenamed("id", "h")
     owned = single.join(owners, "h", "left")
     alike = owned.where("component is not null").groupBy("component").agg(F.min("first").alias("first"))
     linked = owned.where("component is not null").drop("first").join(alike, "component").select("h", "h2", "first")

@@ -52,6 +52,11 @@ def op4_segment_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return duplicate_lines(_read(spark, folder, "documents"))
 
 
+def op4_growing_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of all documents that repeat an earlier line up to a number of edits that grows with their length."""
+    return duplicate_lines(_read(spark, folder, "documents"), growing=True)
+
+
 def op5_block_rule_html(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     return extract_main_text(_read(spark, folder, "pages"))
@@ -90,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_weakly_supervised_toxicity": op2_weakly_supervised_toxicity,
         "op3_quotation_linking": op3_quotation_linking,
         "op4_segment_line_dedup": op4_segment_line_dedup,
+        "op4_growing_line_dedup": op4_growing_line_dedup,
         "op5_block_rule_html": op5_block_rule_html,
         "op6_projection_neighbours": op6_projection_neighbours,
         "op7_hash_tree_shards": op7_hash_tree_shards,
