@@ -39,8 +39,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: documents repeat so that sources meet the square roots of their sizes, in shuffled order."""
-    mixed = mix_sources(docs, size=F.coalesce("n_chars", F.lit(0)), temperature=0.5)
+    """Operator 10: documents repeat so that sources meet the square roots of their sizes, in shuffled order.
+
+    Sizes are counted from the texts; a source without any text keeps a copy of each document on average.
+    """
+    mixed = mix_sources(docs, size=F.coalesce(F.length("text"), F.lit(0)), temperature=0.5, bare=1.0)
     return mixed.select(*docs.columns)
 
 

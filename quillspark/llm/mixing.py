@@ -29,6 +29,7 @@ def source_rates(
     weights: dict[str, float] | None = None,
     temperature: float = 0.5,
     budget: float | None = None,
+    bare: float = 0.0,
 ) -> DataFrame:
     """Mean copies per document of each source, so that sources meet their target shares.
 
@@ -39,7 +40,7 @@ def source_rates(
     ``budget`` (the corpus's own size by default), so
     ``rate = share * budget / size``. Returns ``source, size, share, rate``,
     one row per source, a null source being one of its own. Sizes of 0 give
-    rate 0.
+    rate ``bare``: 0, or 1 to keep documents of a source that holds no text.
     """
     measure = F.lit(1) if size is None else size
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(F.sum(measure).cast("double").alias("size"))
@@ -55,7 +56,7 @@ def source_rates(
     all_want, all_size = sizes.agg(F.sum("want"), F.sum("size")).first()
     share = F.col("want") / F.lit(all_want) if all_want else F.lit(0.0)
     whole = F.lit(float(all_size or 0) if budget is None else float(budget))
-    rate = F.when(F.col("size") > 0, F.col("share") * whole / F.col("size")).otherwise(0.0)
+    rate = F.when(F.col("size") > 0, F.col("share") * whole / F.col("size")).otherwise(float(bare))
     return sizes.withColumn("share", share).withColumn("rate", rate).select("source", "size", "share", "rate")
 
 

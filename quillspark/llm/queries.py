@@ -83,10 +83,13 @@ def op9_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_poisson_mixture(spark: SparkSession, folder: str) -> DataFrame:
-    """Copies of all documents mixed by the square root of their source's size, in shuffled order."""
-    docs = _read(spark, folder, "documents").select("doc_id", "source", "n_chars")
-    mixed = mix_sources(docs, size=F.coalesce("n_chars", F.lit(0)), temperature=0.5)
-    return mixed.select("doc_id", "source", "n_chars", "copy", "shuffle_key")
+    """Copies of all documents mixed by the square root of their source's size, in shuffled order.
+
+    Sizes are counted from the texts. Whole rows are shuffled: a missing
+    ``n_chars`` is counted from the text that arrives.
+    """
+    mixed = mix_sources(_read(spark, folder, "documents"), size=F.coalesce(F.length("text"), F.lit(0)), temperature=0.5)
+    return mixed.select("doc_id", "source", F.coalesce("n_chars", F.length("text")).alias("n_chars"), "copy", "shuffle_key")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
