@@ -470,6 +470,14 @@ def top01(spark: SparkSession, folder: str) -> DataFrame:
     return search.dense_search(points, asked, where=F.col("label").isin(1, 2, 3, 4)).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
 
 
+@query("top01_dense_search_fiftieth")
+def top01_fiftieth(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector whose id is divisible by 50 asks, so that queries grow with the table."""
+    points, _ = _vectors(spark, folder)
+    asked = points.where("id % 50 = 0").select(F.col("id").alias("query_id"), "dense")
+    return search.dense_search(points, asked, where=F.col("label").isin(1, 2, 3, 4)).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
 @query(
     "top02_sparse_search",
     f"""WITH {_WORDS}, tf AS (SELECT doc_id, idx, count(*) AS tf FROM words_v GROUP BY ALL),
