@@ -187,6 +187,17 @@ def fn20(spark: SparkSession, folder: str) -> DataFrame:
     return views.table(spark, folder, "documents").select("doc_id", text.token_index(F.split_part("text", F.lit(" "), F.lit(1))).alias("idx"))
 
 
+@query(
+    "fn20_token_index_whole",
+    """SELECT doc_id, (('0x' || substr(sha256(w), 1, 8))::BIGINT % 100000)::INTEGER AS idx
+    FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents)""",
+)
+def fn20_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """The index of every word of each text."""
+    words = views.table(spark, folder, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("w"))
+    return words.select("doc_id", text.token_index(F.col("w")).alias("idx"))
+
+
 @query(
     "fn21_pdf_headings",
     f"""WITH {LINES} SELECT attachment_id, line_no, len(text) <= 80 AND len(regexp_split_to_array(text, '\\s+')) <= 12

@@ -500,6 +500,12 @@ def top03(spark: SparkSession, folder: str) -> DataFrame:
     return joins.sorted_ids(views.table(spark, folder, "documents").where("doc_id % 7 = 0"), "source", "doc_id")
 
 
+@query("top03_sorted_ids_whole", "SELECT DISTINCT source, doc_id FROM documents")
+def top03_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """All ids of each source as ordered rows, so that no row grows with a source."""
+    return views.table(spark, folder, "documents").select("source", "doc_id").distinct().orderBy("source", "doc_id")
+
+
 @query(
     "set01_delete_candidates",
     """SELECT 'page' AS kind, doc_id::VARCHAR AS id FROM documents WHERE doc_id % 11 = 0 UNION SELECT 'attachment', user_id::VARCHAR FROM events WHERE event_type = 'purchase'
@@ -640,6 +646,15 @@ def fn06(spark: SparkSession, folder: str) -> DataFrame:
     return indexing.point_payload(chunks).select("chunk_id", "page_id", "version_number", "is_deleted", "text_preview")
 
 
+@query(
+    "fn06_point_payload_whole",
+    f"""WITH {_CHUNKS} SELECT chunk_id, page_id, version_number, false AS is_deleted, substr(text, 1, 200) AS text_preview FROM chunks_v""",
+)
+def fn06_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads of all chunks of each page."""
+    return indexing.point_payload(_line_chunks(spark, folder)).select("chunk_id", "page_id", "version_number", "is_deleted", "text_preview")
+
+
 @query(
     "fn23_resolve_header",
     """SELECT (l_orderkey % 20)::VARCHAR AS attachment_id, ['key', 'col_2', 'flag', 'col_4'] AS header, 1 AS first FROM lineitem GROUP BY 1""",
