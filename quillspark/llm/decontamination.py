@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,19 +13,102 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import is_small, stash
 from quillspark.llm.shingles import WordHashes, rolling
 
-#: Bits of a fingerprint.
-BITS = 64
-#: Benchmark items in one broadcast index; a larger benchmark is searched in slices of about so many.
-SLICE = 20_000
+#: Bits of a fingerprint, and the blocks that the multi-index cuts it into.
+BITS, BLOCKS = 64, 4
+#: Limits of one broadcast index: items, word counts of items, characters. A larger benchmark is searched in slices.
+SLICE_ITEMS, SLICE_SIZES, SLICE_CHARS = 4_000, 64, 32_000_000
+#: Items that share the words of one set of block tables.
+_GROUP = 64
+#: Windows fingerprinted at once, looked up at once, and words searched at once; only memory depends on them.
+_STEP, _BATCH, _PIECE = 2048, 32_768, 1 << 20
 _FILTER_BITS = 1 << 20
+#: All values of a block, nearest to zero first, so that ``value ^ _NEAR[:k]`` is a ball around a value.
+_NEAR = np.argsort(np.bitwise_count(np.arange(1 << (BITS // BLOCKS), dtype=np.uint32)), kind="stable")
+_BALL = np.cumsum(np.bincount(np.bitwise_count(np.arange(1 << (BITS // BLOCKS), dtype=np.uint32))))
 
 
-def fingerprints(words: np.ndarray, size: int, starts: np.ndarray) -> np.ndarray:
-    """SimHash of the ``size``-word windows at ``starts``: each word adds or takes 1 in each bit."""
-    votes = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32) * 2 - 1
-    sums = np.zeros((len(words) + 1, BITS), dtype=np.int32)
-    np.cumsum(votes, axis=0, out=sums[1:])
-    return np.packbits(sums[starts + size] > sums[starts], axis=1).view(np.uint64).ravel()
+def _votes(shingles: np.ndarray) -> np.ndarray:
+    """The bits of each shingle, one row per shingle."""
+    return np.unpackbits(shingles.view(np.uint8).reshape(-1, BITS // 8), axis=1)
+
+
+def fingerprint(shingles: np.ndarray) -> np.uint64:
+    """SimHash of a bag of shingles: a bit is set where more than half of them have it."""
+    ones = _votes(shingles).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(shingles)).view(np.uint64)[0]
+
+
+def window_marks(shingles: np.ndarray, lengths: list[int], count: int) -> list[np.ndarray]:
+    """Fingerprints of the windows of each length (in shingles) that start at the first ``count`` shingles.
+
+    One table of running sums serves all lengths. The sums wrap around: a
+    difference over a window is right as long as its length fits the type.
+    """
+    kind = np.uint8 if lengths[-1] < 1 << 8 else np.uint16 if lengths[-1] < 1 << 16 else np.uint32
+    out = [np.empty(max(0, min(count, len(shingles) - m + 1)), dtype=np.uint64) for m in lengths]
+    space, over = np.empty(_STEP * BITS, dtype=kind), np.empty(_STEP * BITS, dtype=bool)
+    for first in range(0, min(count, len(shingles)), _STEP):
+        part = shingles[first : first + _STEP + lengths[-1] - 1]
+        sums = np.zeros((len(part) + 1, BITS), dtype=kind)
+        np.cumsum(_votes(part), axis=0, dtype=kind, out=sums[1:])
+        sums = sums.ravel()
+        for m, marks in zip(lengths, out, strict=True):
+            size = min(_STEP, len(marks) - first)
+            if size > 0:
+                ones = np.subtract(sums[m * BITS : (m + size) * BITS], sums[: size * BITS], out=space[: size * BITS])
+                marks[first : first + size] = np.packbits(np.greater(ones, m // 2, out=over[: size * BITS])).view(np.uint64)
+    return out
+
+
+class HammingIndex:
+    """Fingerprints in blocks of bits; ``within`` finds all pairs within the radius.
+
+    The blocks' own radii ``r`` satisfy ``sum(r + 1) = radius + 1``, so two
+    fingerprints within the radius lie within its own radius in a block at
+    least. Each block has a table that gives, for every value of the block, the
+    set of indexed fingerprints within that block's radius.
+    """
+
+    def __init__(self, marks: np.ndarray, radius: int):
+        self.marks, self.radius = marks, radius
+        whole, more = divmod(radius + 1, BLOCKS)
+        self.radii = [whole - 1 + (b < more) for b in range(BLOCKS)]
+        self.groups = []
+        for first in range(0, len(marks), _GROUP):
+            part = marks[first : first + _GROUP]
+            kind = np.dtype(f"u{next(x for x in (1, 2, 4, 8) if len(part) <= 8 * x)}")
+            tables = np.zeros((BLOCKS, 1 << (BITS // BLOCKS)), dtype=kind)
+            for b, r in enumerate(self.radii):
+                for k, value in enumerate(part.view(np.uint16)[b::BLOCKS].tolist()):
+                    tables[b, value ^ _NEAR[: _BALL[r] if r >= 0 else 0]] |= kind.type(1 << k)
+            self.groups.append((first, part, tables))
+
+    def probe(self, marks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(positions in ``marks``, indexed fingerprints, distances) of all pairs that agree closely in some block."""
+        values = np.empty((BLOCKS, len(marks)), dtype=np.intp)
+        np.copyto(values, marks.view(np.uint16).reshape(-1, BLOCKS).T)
+        for first, part, tables in self.groups:
+            sets = tables[0].take(values[0], mode="clip")
+            for b in range(1, BLOCKS):
+                sets |= tables[b].take(values[b], mode="clip")
+            at = np.flatnonzero(sets != 0)
+            sets, near = sets[at], marks[at]
+            one = sets.dtype.type(1)
+            while len(at):  # one member of each set at a time
+                less = sets - one
+                member = np.bitwise_count(~sets & less)
+                yield at, member + np.int64(first), np.bitwise_count(near ^ part[member])
+                sets &= less
+                left = np.flatnonzero(sets != 0)
+                at, sets, near = at[left], sets[left], near[left]
+
+    def within(self, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions in ``marks``, indexed fingerprints) of all pairs within the radius."""
+        found = [(at[close], member[close]) for at, member, far in self.probe(marks) if (close := far <= self.radius).any()]
+        if not found:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        at, member = (np.concatenate(x) for x in zip(*found, strict=True))
+        return at, member
 
 
 def weighted_overlap(left: np.ndarray, right: tuple[np.ndarray, np.ndarray]) -> int:
@@ -35,103 +118,120 @@ def weighted_overlap(left: np.ndarray, right: tuple[np.ndarray, np.ndarray]) ->
     return int(np.minimum(counts[i], right[1][j]).sum())
 
 
-class ItemIndex:
-    """Fingerprints of benchmark items by word count, in ``radius + 1`` blocks of bits.
+class Lengths:
+    """Items whose lengths in shingles lie within a tenth of the shortest: one fingerprint, of the leading ones, serves all."""
+
+    def __init__(self, lead: int, members: list[tuple[int, np.ndarray]], radius: int):
+        self.lead = lead
+        self.index = HammingIndex(np.array([fingerprint(x[:lead]) for _, x in members], dtype=np.uint64), radius)
+        self.sizes = np.array([len(x) for _, x in members])
+        self.items = [(item_id, np.unique(x, return_counts=True)) for item_id, x in members]
 
-    Two fingerprints that differ in at most ``radius`` bits agree in a block
-    at least, so that probing every block finds all items within the radius.
-    """
 
-    def __init__(self, items: list[tuple[int, str]], width: int, percent: int, radius: int):
-        self.width, self.percent, self.radius = width, percent, radius
-        edges = np.linspace(0, BITS, radius + 2).astype(int)
-        self.blocks = [(np.uint64(a), np.uint64((1 << int(b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
-        hashes = WordHashes()
-        self.items: dict[int, list[tuple]] = defaultdict(list)
-        known = defaultdict(list)
+class ItemIndex:
+    """Benchmark items by shingle width and class of lengths, each class with its multi-index of fingerprints."""
+
+    def __init__(self, items: Iterable[tuple[int, str]], width: int, percent: int, radius: int):
+        self.percent = percent
+        hashes, found = WordHashes(), defaultdict(list)
         for item_id, text in items:
             words = hashes(text)
             if len(words):
-                shingles = rolling(words, width)
-                mark = fingerprints(words, len(words), np.zeros(1, dtype=np.int64))[0]
-                self.items[len(words)].append((item_id, np.unique(shingles, return_counts=True), mark))
-                known[min(width, len(words))].append((shingles, np.full(len(shingles), len(words))))
-        self.marks = {n: np.array([x[2] for x in found], dtype=np.uint64) for n, found in self.items.items()}
-        self.tables: dict[tuple[int, int], dict[int, list[int]]] = {}
-        for n, marks in self.marks.items():
-            for b, (shift, mask) in enumerate(self.blocks):
-                table = self.tables[n, b] = defaultdict(list)
-                for at, value in enumerate(((marks >> shift) & mask).tolist()):
-                    table[value].append(at)
-        # Of each shingle width: the benchmark's shingles, a bit filter, and the item sizes that hold each shingle.
-        self.known = {}
-        for w, pairs in known.items():
-            every, sizes = (np.concatenate(x) for x in zip(*pairs, strict=True))
-            order = np.lexsort((sizes, every))
-            every, sizes = every[order], sizes[order]
-            first = np.append(True, (every[1:] != every[:-1]) | (sizes[1:] != sizes[:-1]))
-            every, sizes = every[first], sizes[first]
-            values, starts = np.unique(every, return_index=True)
-            bits = np.zeros(_FILTER_BITS, dtype=bool)
-            bits[values & np.uint64(_FILTER_BITS - 1)] = True
-            self.known[w] = (values, bits, np.append(starts, len(every)), sizes)
-
-    def _within(self, n: int, marks: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(window, item, distance) of all pairs within the radius, by probing the blocks."""
-        found: set[tuple[int, int]] = set()
-        for b, (shift, mask) in enumerate(self.blocks):
-            table = self.tables[n, b]
-            for window, value in enumerate(((marks >> shift) & mask).tolist()):
-                found.update((window, item) for item in table.get(value, ()))
-        if found:
-            pairs = np.array(sorted(found))
-            far = np.bitwise_count(marks[pairs[:, 0]] ^ self.marks[n][pairs[:, 1]])
-            for (window, item), distance in zip(pairs.tolist(), far.tolist(), strict=True):
-                if distance <= self.radius:
-                    yield window, item, distance
-
-    def search(self, words: np.ndarray) -> list[tuple]:
-        """(item, start, words, common, total, distance) of each item's best window."""
+                found[min(width, len(words))].append((item_id, rolling(words, width)))
+        self.by_width = {}
+        for w, members in found.items():
+            members.sort(key=lambda x: len(x[1]))
+            known = np.zeros(_FILTER_BITS, dtype=bool)
+            leads: dict[int, list] = {}
+            for item_id, shingles in members:
+                known[shingles & np.uint64(_FILTER_BITS - 1)] = True
+                if not leads or 10 * len(shingles) > 11 * lead:
+                    lead = len(shingles)
+                leads.setdefault(lead, []).append((item_id, shingles))
+            self.by_width[w] = (known, [Lengths(lead, some, radius) for lead, some in leads.items()])
+
+    def least(self, length: int | np.ndarray, span: int | np.ndarray) -> int | np.ndarray:
+        """Common shingles that windows of ``span`` shingles need with items of ``length``."""
+        return -(-self.percent * (length + span) // (100 + self.percent))
+
+    def search(self, texts: list[np.ndarray]) -> list[tuple]:
+        """(text, item, start, words, common, total, distance) of each item's best window in each text (word hashes)."""
         out: list[tuple] = []
-        for w, (values, bits, starts, sizes) in self.known.items() if len(words) else ():
-            # A text shorter than the shingle width has one shingle, of its own width.
-            shingles = rolling(words, w)
-            near = np.flatnonzero(bits[shingles & np.uint64(_FILTER_BITS - 1)])
-            at = np.minimum(np.searchsorted(values, shingles[near]), len(values) - 1)
-            hit = values[at] == shingles[near]
-            near, at = near[hit], at[hit]
+        for w, (known, table) in self.by_width.items():
+            chosen = [k for k, words in enumerate(texts) if len(words) >= w]
+            if chosen:
+                out += self._search([rolling(texts[k], w) for k in chosen], chosen, w, known, table)
+        return out
+
+    def _search(self, parts: list[np.ndarray], names: list[int], w: int, known: np.ndarray, table: list[Lengths]) -> list[tuple]:
+        every = np.concatenate(parts)
+        sizes = np.array([len(x) for x in parts])
+        ends = np.cumsum(sizes)
+        inside = np.zeros(len(every) + 1, dtype=np.int64)
+        np.cumsum(known[every & np.uint64(_FILTER_BITS - 1)], out=inside[1:])
+        found: dict[tuple[int, int, int], list[int]] = defaultdict(list)
+
+        def keep(c: int, starts: np.ndarray, members: np.ndarray) -> None:
+            """Of what the index has found: windows that lie in one text and hold enough shingles of any items."""
+            text = np.searchsorted(ends, starts, side="right")
+            lengths = table[c].sizes[members]
+            spans = np.minimum(lengths, sizes[text])
+            stops = starts + spans
+            good = np.flatnonzero(stops <= ends[text])
+            good = good[inside[stops[good]] - inside[starts[good]] >= self.least(lengths[good], spans[good])]
+            for t, member, start in zip(text[good].tolist(), members[good].tolist(), starts[good].tolist(), strict=True):
+                found[t, c, member].append(start)
+
+        leads = [x.lead for x in table]
+        for first in range(0, len(every), _BATCH):
+            for c, marks in enumerate(window_marks(every[first : first + _BATCH + leads[-1] - 1], leads, _BATCH)):
+                at, members = table[c].index.within(marks)
+                if len(at):
+                    keep(c, first + at, members)
+        # A text shorter than that is one window as a whole.
+        short = np.flatnonzero(sizes < leads[-1])
+        whole = np.array([fingerprint(parts[k]) for k in short.tolist()], dtype=np.uint64)
+        for c, lead in enumerate(leads):
+            near = np.flatnonzero((sizes[short] < lead) & (sizes[short] >= self.least(lead, sizes[short])))
             if len(near):
-                counts = starts[at + 1] - starts[at]
-                entry = np.repeat(starts[at] + counts - np.cumsum(counts), counts) + np.arange(counts.sum())
-                place, size = np.repeat(near, counts), sizes[entry]
-                for n in np.unique(size).tolist():
-                    if len(words) >= w and min(self.width, n) == w:
-                        out += self._best(words, shingles, n, w, place[size == n])
+                at, members = table[c].index.within(whole[near])
+                keep(c, (ends - sizes)[short[near[at]]], members)
+        out = []
+        for (t, c, member), starts in found.items():
+            (item_id, bag), m = table[c].items[member], int(table[c].sizes[member])
+            low, high, span = int(ends[t] - sizes[t]), int(ends[t]), min(m, int(sizes[t]))
+            best = max((weighted_overlap(every[start : start + span], bag), -start) for start in starts)
+            if best[0] < self.least(m, span):
+                continue
+            # A window next to one found may be better still, though its own fingerprint was too far away.
+            around = {s for start in starts for s in range(max(low, start - m), min(high - span, start + m) + 1)} - set(starts)
+            for start in sorted(around):
+                if inside[start + span] - inside[start] >= best[0]:
+                    best = max(best, (weighted_overlap(every[start : start + span], bag), -start))
+            common, start = best[0], -best[1]
+            mark = fingerprint(every[start : start + min(span, table[c].lead)])
+            distance = int(np.bitwise_count(mark ^ table[c].index.marks[member]))
+            out.append((names[t], item_id, start - low, span + w - 1, common, m + span - common, distance))
         return out
 
-    def _best(self, words: np.ndarray, shingles: np.ndarray, n: int, w: int, place: np.ndarray) -> list[tuple]:
-        """Best windows for the items of ``n`` words, given where the text has shingles of theirs."""
-        items, whole, size = self.items[n], n - w + 1, min(n, len(words))
-        span = size - w + 1
-        # A window similar enough holds this many of those shingles; others need no fingerprint.
-        least = -(-self.percent * whole // 100)
-        if len(place) < least:
-            return []
-        starts = np.arange(len(words) - size + 1)
-        inside = np.searchsorted(place, starts + span) - np.searchsorted(place, starts)
-        starts = starts[inside >= least]
-        if not len(starts):
-            return []
-        best: dict[int, tuple] = {}
-        low, high = starts[0], starts[-1] + size
-        marks = fingerprints(words[low:high], size, starts - low)
-        for window, item, distance in self._within(n, marks):
-            start = int(starts[window])
-            common = weighted_overlap(shingles[start : start + span], items[item][1])
-            total = whole + span - common
-            if 100 * common >= self.percent * total:
-                best[item] = max(best.get(item, (-1, 0)), (common, -start, size, total, distance))
-        return [(items[k][0], -s, size, common, total, d) for k, (common, s, size, total, d) in best.items()]
+
+def _slices(items: DataFrame, slice_items: int) -> Iterator[DataFrame]:
+    """The items in parts whose index is small: some word counts each, or some of the items of one word count."""
+    sizes = items.groupBy("n").agg(F.count("*").alias("items"), F.sum(F.length("words")).alias("chars")).orderBy("n").collect()
+    held: list[int] = []
+    rows = chars = 0
+    for n, more, length in sizes:
+        parts = max(-(-more // slice_items), -(-length // SLICE_CHARS))
+        if held and (parts > 1 or rows + more > slice_items or chars + length > SLICE_CHARS or len(held) == SLICE_SIZES):
+            yield items.where(F.col("n").between(held[0], held[-1]))
+            held, rows, chars = [], 0, 0
+        if parts > 1:
+            for k in range(parts):
+                yield items.where((F.col("n") == n) & (F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == k))
+        else:
+            held, rows, chars = [*held, n], rows + more, chars + length
+    if held:
+        yield items.where(F.col("n").between(held[0], held[-1]))
 
 
 def benchmark_hits(
@@ -144,8 +244,8 @@ def benchmark_hits(
     item_text_col: str = "text",
     width: int = 5,
     percent: int = 80,
-    radius: int = 20,
-    slice_items: int = SLICE,
+    radius: int = 19,
+    slice_items: int = SLICE_ITEMS,
 ) -> DataFrame:
     """Benchmark items found in documents: one row per document and item with its best window.
 
@@ -157,46 +257,60 @@ def benchmark_hits(
     columns, ``start_word``, ``n_words``, ``common``, ``total`` and
     ``distance`` (differing bits of the two fingerprints).
 
-    Each window's SimHash is looked up in a multi-index that finds all items
-    within ``radius`` bits; exact similarity decides. At the default radius a
-    window of similarity 0.8 (about 10 bits apart, standard deviation 3) is
-    found in all but about one case in two thousand, a true copy always.
-    Windows with too few of the benchmark's shingles to reach ``percent`` get
-    no fingerprint.
-
-    Only an index of at most about ``slice_items`` items is broadcast at once;
-    a larger benchmark is searched slice by slice. Defined cases: an item of
-    fewer words than ``width`` is one shingle; null and blank texts and items
-    match nothing; rows with a null id are searched and keep it; repeated rows
-    give repeated results; repeated items (equal id and text) count once; other
-    columns are ignored; empty tables give an empty result.
+    Every window of every item length has a SimHash of its shingles, from
+    running sums over the text that all lengths share; lengths within a tenth
+    of one another share the fingerprint of their leading shingles too. Each is
+    looked up in the multi-index of the items of those lengths
+    (``HammingIndex``), which finds all items within ``radius`` bits. What it
+    finds is verified: the shingles that any item holds bound the overlap, then
+    whole bags are compared, those of the windows next to a find too. At the
+    default radius one or two in a thousand windows of similarity exactly 0.8
+    (about 10 bits apart, standard deviation 3) lie beyond it, a true copy
+    never.
+
+    One index at a time is broadcast, of at most ``slice_items`` items, 64 word
+    counts and 32 million characters; a larger benchmark is searched slice by
+    slice, mostly by word count, so that no window is fingerprinted twice.
+    Defined cases: an item of fewer words than ``width`` is one shingle; null
+    and blank texts and items match nothing; rows with a null id are searched
+    and keep it; repeated rows give repeated results; repeated items (equal id
+    and text) count once; other columns are ignored; empty tables give an empty
+    result.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("words"))
     items = items.where("item is not null and words is not null").distinct()
-    slices = max(1, -(-items.count() // slice_items))
+    items = items.withColumn("n", F.size(F.array_remove(F.split("words", r"[\x20\x09-\x0D]+"), ""))).where("n > 0")
     schema = "id long, item long, start_word long, n_words long, common long, total long, distance int"
-    found = None
-    for k in range(slices):
-        part = items.where(F.pmod(F.xxhash64("item", "words"), F.lit(slices)) == k)
-        held = spark.sparkContext.broadcast([tuple(x) for x in part.collect()])  # a slice, of bounded size
+    found = spark.createDataFrame([], schema)
+    for part in _slices(items, slice_items):
+        held = spark.sparkContext.broadcast([tuple(x) for x in part.select("item", "words").collect()])  # of bounded size
 
         def each(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             index, hashes = ItemIndex(held.value, width, percent, radius), WordHashes()
-            for batch in batches:
-                rows = []
-                for doc_id, text in zip(batch.column("id"), batch.column("text"), strict=True):
-                    rows += [(doc_id.as_py(), *hit) for hit in index.search(hashes(text.as_py()))]
-                columns = list(zip(*rows, strict=True)) or [()] * 7
-                kinds = [pa.int64()] * 6 + [pa.int32()]
-                yield pa.RecordBatch.from_arrays(
+            kinds = [pa.int64()] * 6 + [pa.int32()]
+
+            def flush(ids: list, words: list) -> pa.RecordBatch:
+                rows = [(ids[k], *hit) for k, *hit in index.search(words)]
+                columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+                return pa.RecordBatch.from_arrays(
                     [pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)],
                     ["id", "item", "start_word", "n_words", "common", "total", "distance"],
                 )
 
-        hits = texts.mapInArrow(each, schema)
-        found = hits if found is None else found.unionByName(hits)
+            ids, words, size = [], [], 0
+            for batch in batches:
+                for doc_id, text in zip(batch.column("id"), batch.column("text"), strict=True):
+                    ids.append(doc_id.as_py())
+                    words.append(hashes(text.as_py()))
+                    size += len(words[-1])
+                    if size >= _PIECE:
+                        yield flush(ids, words)
+                        ids, words, size = [], [], 0
+            yield flush(ids, words)
+
+        found = found.unionByName(texts.mapInArrow(each, schema))
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
 
 

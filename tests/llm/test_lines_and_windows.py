@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quillspark.llm.decontamination import benchmark_hits, decontaminate
+from quillspark.llm.decontamination import HammingIndex, benchmark_hits, decontaminate, fingerprint, window_marks
 from quillspark.llm.line_dedup import Keys, drop_lines, duplicate_lines, within_edits
 
 
@@ -120,7 +121,7 @@ def test_windows_against_brute_force(spark):
     frame = spark.createDataFrame([(d, t, "b") for d, t in docs], "doc_id long, text string, _bad string")
     bench = spark.createDataFrame([(i, t) for i, t in items] + items[:1], "item_id long, text string")
     want = windows_brute(docs, items)
-    for options in ({}, {"slice_items": 6}):
+    for options in ({}, {"slice_items": 3}):
         found = benchmark_hits(frame, bench, **options).collect()
         assert {(r.doc_id, r.item_id): (r.start_word, r.common, r.total) for r in found} == want
         assert len(found) == len(want)
@@ -129,6 +130,61 @@ def test_windows_against_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_multi_index_finds_all_within_radius():
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 2**64, 150, dtype=np.uint64)
+    # Fingerprints at every distance from 0 to 40, with many repeated ones.
+    flips = [np.bitwise_or.reduce(np.uint64(1) << draw.choice(64, k, replace=False).astype(np.uint64)) if k else np.uint64(0) for k in range(41)]
+    marks = np.concatenate([base ^ flip for flip in flips] + [draw.integers(0, 2**64, 4000, dtype=np.uint64)])
+    far = np.bitwise_count(marks[:, None] ^ base[None, :])
+    for radius in (0, 2, 3, 19, 22):
+        at, member = HammingIndex(base, radius).within(marks)
+        want = np.argwhere(far <= radius)
+        assert sorted(zip(at.tolist(), member.tolist(), strict=True)) == [tuple(x) for x in want.tolist()]
+
+
+def test_multi_index_is_selective():
+    draw = np.random.default_rng(4)
+    items, windows = (draw.integers(0, 2**64, n, dtype=np.uint64) for n in (60, 100_000))
+    index = HammingIndex(items, 19)
+    probed = sum(len(at) for at, _, _ in index.probe(windows)) / (60 * 100_000)
+    verified = len(index.within(windows)[0]) / (60 * 100_000)
+    assert probed < 0.2 and verified < 0.01
+
+
+def test_windows_of_similarity_at_the_limit_are_near():
+    """Of bags whose weighted similarity is just 0.8, all but a few in a thousand lie within the radius."""
+    draw = np.random.default_rng(5)
+    missed = 0
+    for _ in range(4000):
+        item = draw.integers(0, 2**64, 45, dtype=np.uint64)
+        window = np.concatenate([item[5:], draw.integers(0, 2**64, 5, dtype=np.uint64)])
+        missed += int(np.bitwise_count(fingerprint(item[:41]) ^ fingerprint(window[:41]))) > 19
+    assert missed <= 16
+
+
+def test_window_marks_are_those_of_the_windows():
+    shingles = np.random.default_rng(6).integers(0, 2**64, 5000, dtype=np.uint64)
+    for lengths in ([1, 7, 55], [300]):
+        for m, marks in zip(lengths, window_marks(shingles, lengths, 4100), strict=True):
+            assert len(marks) == 4100 and all(marks[k] == fingerprint(shingles[k : k + m]) for k in (0, 1, 2047, 2048, 4099))
+    assert [len(x) for x in window_marks(shingles[:10], [4, 30], 100)] == [7, 0]
+
+
+def test_long_texts_and_items_across_pieces(spark):
+    draw = random.Random(11)
+    words = [f"v{k}" for k in range(4000)]
+    items = [(k, " ".join(draw.choices(words, k=n))) for k, n in enumerate([12, 40, 41, 42, 43, 44, 45, 300])]
+    long = draw.choices(words, k=70_000)
+    for at, (_, text) in zip(range(9_000, 70_000, 7_500), items, strict=False):
+        long[at : at + len(text.split())] = text.split()
+    docs = [(1, " ".join(long)), (2, items[3][1]), (3, " ".join(items[3][1].split()[:36])), (4, " ".join(items[7][1].split()[20:]) + " end"), (5, " ".join(long[:500]))]
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.start_word, r.common, r.total) for r in benchmark_hits(frame, bench).collect()}
+    want = windows_brute(docs[1:], items) | {(1, k): (9_000 + 7_500 * k, n, n) for k, n in enumerate([8, 36, 37, 38, 39, 40, 41, 296])}
+    assert got == want and (3, 3) in got and (4, 7) in got
+
+
 def test_window_cases(spark):
     item = "one two three four five six seven eight"
     docs = spark.createDataFrame([(1, None), (2, ""), (None, item), (3, f"x {item.upper()} y"), (3, f"x {item.upper()} y"), (4, "z " * 100_000 + item)], "doc_id long, text string")
