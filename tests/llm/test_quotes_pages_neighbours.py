@@ -97,7 +97,7 @@ def test_neighbours_recall(spark):
     frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     want = exact(rows, lambda i: i % 20 == 0, 20)
     got = {}
-    for r in nearest_neighbours(frame, F.col("vec_id") % 20 == 0, block_rows=700, query_rows=40).orderBy("query_id", "rank").collect():
+    for r in nearest_neighbours(frame, F.col("vec_id") % 20 == 0, block_rows=400, query_rows=8).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.vec_id)
     assert set(got) == set(want) and all(len(x) == 20 for x in got.values())
     assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) >= 0.95
