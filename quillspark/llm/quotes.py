@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import stash
+from quillspark.llm.common import stash, unused
 
 #: A line's quote marks: any number of ">", each with spaces around it, or "|" where another mark follows.
 _MARKS = r"^(?:\s{0,3}>)+ ?"
@@ -122,28 +122,49 @@ def link_quotes(
     return joined.select("scope", F.col("id").alias(id_col), F.col("sent").alias(order_col), "own_text", "quote_levels", "parent_id", "parent_level")
 
 
-def reply_order(links: DataFrame, *, id_col: str = "message_id", order_col: str = "sent", bucket: int = 4096) -> DataFrame:
+def numbered(frame: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """Add ``name``: each row's place in its group, from 0, in an order of any types (nulls first).
+
+    Rows are sorted by range over groups and order together, so that a group of
+    any size is spread over tasks; a row's place is its place in its own range
+    and the number of the group's rows in the ranges before. Groups may be null.
+    Equal rows take places in any order.
+    """
+    part, line, first, many, *keys = unused(frame, "part", "line", "first", "many", *(f"key{k}" for k in range(len(groups) + 1)))
+    spread = frame.repartitionByRange(*groups, *order).sortWithinPartitions(*groups, *order)
+    # Written with its ranges, which another computation might cut elsewhere.
+    spread = stash(spread.withColumn(part, F.spark_partition_id()).withColumn(line, F.monotonically_increasing_id()), "numbered")
+    runs = spread.groupBy(*groups, part).agg(F.min(line).alias(first), F.count("*").alias(many))
+    before = F.sum(many).over(Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select(*(F.col(c).alias(k) for c, k in zip([*groups, part], keys, strict=True)), (F.coalesce(before, F.lit(0)) - F.col(first)).alias(many))
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip([*groups, part], keys, strict=True)]
+    return spread.join(runs, same).withColumn(name, F.col(line) + F.col(many)).select(*frame.columns, name)
+
+
+def reply_order(links: DataFrame, *, id_col: str = "message_id", order_col: str = "sent") -> DataFrame:
     """Conversations of linked messages: adds ``root_id``, ``depth`` and ``position``.
 
     A conversation is a tree of replies; its root replies to nothing. Depths
     come from pointer doubling: each round joins a message to the ancestor
     that it points at and doubles the step, and messages that have reached
     their root take no part in later rounds. ``position`` counts from 0 by
-    depth, then order, then id: every reply comes after what it answers.
+    depth, then order (of any type), then id: every reply comes after what it
+    answers. A conversation of any size is numbered in parts (``numbered``).
 
-    Positions are counted per depth and ``bucket`` of 4,096 order values and
-    added up over those counts, so that a conversation with very many messages
-    is never sorted in one task.
+    ``links`` has one row per message, as ``link_quotes`` returns it: scopes may
+    be null, ids and orders not. A parent that is no message of the scope is
+    none, so its replies open conversations. An empty table gives an empty
+    result.
     """
+    links = stash(links, "links")
+    known = links.select(F.col("scope").alias("s"), F.col(id_col).alias("i"))
+    todo = links.select("scope", F.col(id_col).alias("id"), F.col("parent_id").alias("parent"))
+    todo = todo.join(known, todo["scope"].eqNullSafe(F.col("s")) & (F.col("parent") == F.col("i")), "left")
+    todo = stash(todo.select("scope", "id", F.col("i").alias("up")), "parents")
     keys = ["scope", "id"]
-    todo = links.select("scope", F.col(id_col).alias("id"), F.col("parent_id").alias("up"))
-    done = todo.where("up is null").select(*keys, F.col("id").alias("root_id"), F.lit(0).cast("long").alias("depth"))
-    open_ = stash(todo.where("up is not null").select(*keys, "up", F.lit(1).cast("long").alias("step")), "replies")
-    finished = [stash(done, "roots")]
+    ends = todo.where("up is null").select(*keys, F.col("id").alias("root_id"), F.lit(0).cast("long").alias("depth"))
+    open_ = todo.where("up is not null").select(*keys, "up", F.lit(1).cast("long").alias("step"))
     while not open_.isEmpty():
-        ends = finished[0]
-        for part in finished[1:]:
-            ends = ends.unionByName(part)
         at = ends.select(F.col("scope").alias("s"), F.col("id").alias("i"), "root_id", "depth")
         jump = open_.select(F.col("scope").alias("s2"), F.col("id").alias("i2"), F.col("up").alias("up2"), F.col("step").alias("step2"))
         a = open_.join(at, open_["scope"].eqNullSafe(F.col("s")) & (F.col("up") == F.col("i")), "left")
@@ -155,39 +176,34 @@ def reply_order(links: DataFrame, *, id_col: str = "message_id", order_col: str
             ),
             "doubled",
         )
-        finished.append(a.where("root_id is not null").select(*keys, "root_id", "depth"))
+        ends = ends.unionByName(a.where("root_id is not null").select(*keys, "root_id", "depth"))
         open_ = a.where("root_id is null").select(*keys, "up", "step")
-    ends = finished[0]
-    for part in finished[1:]:
-        ends = ends.unionByName(part)
     ends = ends.select(F.col("scope").alias("_scope"), F.col("id").alias("_id"), "root_id", "depth")
     placed = links.join(ends, links["scope"].eqNullSafe(F.col("_scope")) & (links[id_col] == F.col("_id"))).drop("_scope", "_id")
-    group = ["scope", "root_id"]
-    placed = stash(placed.withColumn("_bucket", F.floor(F.col(order_col).cast("double") / bucket)), "placed")
-    counts = placed.groupBy(*group, "depth", "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*group).orderBy("depth", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(c).alias(f"_{c}") for c in group], F.col("depth").alias("_depth"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(*group, "depth", "_bucket").orderBy(order_col, id_col)
-    numbered = placed.withColumn("_at", F.row_number().over(inside) - 1)
-    same = (
-        numbered["scope"].eqNullSafe(F.col("_scope")) & (F.col("root_id") == F.col("_root_id"))
-        & (F.col("depth") == F.col("_depth")) & (F.col("_bucket") == F.col("_b"))
-    )
-    out = numbered.join(starts, same).withColumn("position", F.col("_start") + F.col("_at"))
-    return out.select(*links.columns, "root_id", "depth", "position")
+    return numbered(stash(placed, "placed"), ["scope", "root_id"], ["depth", order_col, id_col], "position")
 
 
-def as_mail(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
+def as_mail(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text", bucket: int = 4096) -> DataFrame:
     """Turns as mails: each quotes the turn before it, and that turn's own quotation one level deeper.
 
     Returns ``scope``, ``message_id`` (the turn), ``sent`` and ``text``; what a
-    mail replies to is only in its text.
+    mail replies to is only in its text. Turns are numbered by turn and text,
+    and each ``bucket`` of them meets the two before it, so a conversation of
+    any length is dealt over tasks.
+
+    Defined cases: null conversations form one; rows with a null turn have no
+    place and are left out; null texts are empty; of equal turns the one with
+    the smaller text comes first, and equal rows quote one another. Other
+    columns are ignored; an empty table gives an empty result.
     """
-    order = Window.partitionBy(conv_col).orderBy(turn_col)
-    quote = lambda text, mark: F.regexp_replace(text, r"(?m)^", mark)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    last, older = F.lag(text, 1).over(order), F.lag(text, 2).over(order)
-    return turns.select(
-        F.col(conv_col).alias("scope"), F.col(turn_col).alias("message_id"), F.col(turn_col).alias("sent"),
-        F.concat_ws("\n", F.when(older.isNotNull(), quote(older, ">> ")), F.when(last.isNotNull(), quote(last, "> ")), text).alias("text"),
+    turns = turns.select(F.col(conv_col).alias("scope"), F.col(turn_col).alias("sent"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = numbered(turns.where("sent is not null"), ["scope"], ["sent", "text"], "at")
+    own = F.floor(F.col("at") / bucket)
+    rows = rows.withColumn("bucket", F.explode(F.when(F.col("at") % bucket >= bucket - 2, F.array(own, own + 1)).otherwise(F.array(own))))
+    order = Window.partitionBy("scope", "bucket").orderBy("at")
+    quote = lambda text, mark: F.concat(F.lit(mark), F.regexp_replace(text, "\n", "\n" + mark))
+    rows = rows.withColumn("last", F.lag("text", 1).over(order)).withColumn("older", F.lag("text", 2).over(order)).where(own == F.col("bucket"))
+    return rows.select(
+        "scope", F.col("sent").alias("message_id"), "sent",
+        F.concat_ws("\n", F.when(F.col("older").isNotNull(), quote(F.col("older"), ">> ")), F.when(F.col("last").isNotNull(), quote(F.col("last"), "> ")), "text").alias("text"),
     )

@@ -28,7 +28,7 @@ def test_nested_quotes_make_a_tree(spark):
         (8, 70, None, "a", "x"), (9, 80, "", "a", "x"), (9, 80, "", "a", "x"), (None, 1, "x", "a", "x"), (10, None, "x", "a", "x"),
     ]
     links = link_quotes(thread(spark, rows), scope_col="scope")
-    found = {r.message_id: r for r in reply_order(links, bucket=25).collect()}
+    found = {r.message_id: r for r in reply_order(links).collect()}
     assert {k: r.parent_id for k, r in found.items()} == {1: None, 2: 1, 3: 2, 4: 1, 5: 2, 6: None, 7: None, 8: None, 9: None}
     assert found[3].own_text == "Fine." and found[3].quote_levels == 2 and found[5].parent_level == 2
     order = sorted((r.position, k) for k, r in found.items() if r.root_id == 1)
@@ -42,7 +42,7 @@ def test_long_chains_and_hot_roots(spark):
     rows = [(0, 0, "start", "a", "x")]
     rows += [(k, k, f"> {'start' if k == 1 else f'say {k - 1}'}\nsay {k}", "a", "x") for k in range(1, 40)]
     rows += [(k, k, f"> start\nanswer {k}", "a", "x") for k in range(100, 160)]
-    found = {r.message_id: r for r in reply_order(link_quotes(thread(spark, rows), scope_col="scope"), bucket=16).collect()}
+    found = {r.message_id: r for r in reply_order(link_quotes(thread(spark, rows), scope_col="scope")).collect()}
     assert found[39].depth == 39 and all(found[k].depth == 1 for k in range(100, 160))
     assert sorted(r.position for r in found.values()) == list(range(100))
     assert all(found[r.parent_id].position < r.position for r in found.values() if r.parent_id is not None)
