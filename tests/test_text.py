@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import uuid
 
 import pytest
@@ -24,13 +25,33 @@ from quillspark.sources.pages import csv_cells
         ("<p>see <code>&lt;env&gt;</code></p>", "see `<env>`"),
         ("<ac:task><ac:task-status>complete</ac:task-status><ac:task-body>do</ac:task-body></ac:task>", "- [x] do"),
         ("<ac:image><ri:attachment/></ac:image>“q” {{< ref \"a\" >}}", '"q"'),
-        ("<p>one<p>two", "onetwo"), ("x\n\n\n\n\ny   ", "x\n\ny"), ("</p>stray <!-- note -->", "stray  note"),
+        ("<table><tr><td>a<table><tr><td>b</td><td>c</td></tr></table></td></tr></table>", "| a | b | c | | --- | --- | |\n| --- |"),
+        ("<ul><li>a<ul><li>b</li></ul></li><li>c</li>lost</ul>", "- a\n- b\n- c"), ("<ac:task><ac:task-id>1</ac:task-id>x</ac:task>", "1x"),
+        ("<ac:task><ac:task-status>incomplete</ac:task-status> <ac:task-body><p>a <b>b</b></p></ac:task-body></ac:task>then", "- [ ] a b\nthen"),
+        ('<ac:structured-macro ac:name="code" x="y"><ac:parameter>py</ac:parameter><ac:plain-text-body>a &lt; b</ac:plain-text-body></ac:structured-macro>', "```\na < b\n```"),
+        ('<ac:structured-macro ac:name="info"><ac:rich-text-body><p>hint</p></ac:rich-text-body></ac:structured-macro>', "hint"),
+        ("<code class='x'>a</code> <code>b <i>c</i>  </code>", "a `b <i>c</i>`"), ("a {{% x %}} b {{< y", "a  b {{< y"), ("<p title='a > b'>c</p><script>if (a < b) {}</script>", "c\nif (a < b) {}"),
+        ("<!DOCTYPE html><?x?>a < b &amp;amp; <", "htmlx?a < b &amp; <"), ("<p>one<p>two", "onetwo"), ("x\n\n\n\n\ny   ", "x\n\ny"), ("</p>stray <!-- note -->", "stray  note"),
     ],
 )
 def test_render(html, want):
     assert render(html) == want
 
 
+@pytest.mark.parametrize(
+    "piece",
+    ["<code>", "<p>x", "<li>x", "<ul><li>x", "<a \"x", "<a b='x", "<!--", "<ac:task>", "{{<", "{{< x >}}", '<ac:structured-macro ac:name="code">', "<div>x", "<script>", "<"],
+)
+def test_render_time_is_linear(piece):
+    start = time.perf_counter()
+    render(piece * 50_001)
+    assert time.perf_counter() - start < 8
+
+
+def test_render_nested_tables_do_not_double():
+    assert len(render("<table><tr><td>x" * 200)) < 6_000
+
+
 def slow_windows(body, limit, overlap):
     count = chunking.tokens_in
     if count(body) <= limit:
