@@ -137,8 +137,33 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _both_ends(pairs, sets, "shingles").mapInArrow(each, "a long, b long")
 
 
+def _cells(shared: DataFrame, block: int) -> DataFrame:
+    """Members of the buckets that hold several components, dealt into cells of two blocks each.
+
+    Members of a bucket's largest component are linked already, so only the
+    others ("strays") meet: each block of strays meets each block of the largest
+    component and each block of strays. Blocks of the largest component have
+    negative numbers, so that a cell's two blocks tell its kind.
+    """
+    parts = shared.groupBy("key", "component").agg(F.count("*").alias("n"))
+    top = parts.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("minus"))).alias("top"), F.sum("n").alias("all"))
+    top = top.where(F.col("all") > F.col("top.n"))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / F.lit(block))).cast("int")
+    top = top.select("key", (-F.col("top.minus")).alias("largest"), blocks(F.col("top.n")).alias("long"), blocks(F.col("all") - F.col("top.n")).alias("wide"))
+    held, inner = F.col("component") == F.col("largest"), F.xxhash64("id")
+    number = F.when(held, -1 - F.pmod(inner, "long")).otherwise(F.pmod(inner, "wide")).cast("int")
+    strays = F.sequence(F.lit(0), F.col("wide") - 1)
+    of_held = F.transform(strays, lambda other: F.struct(other.alias("low"), F.col("block").alias("high")))
+    of_strays = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("long") - 1), lambda other: F.struct(F.col("block").alias("low"), (-1 - other).alias("high"))),
+        F.transform(strays, lambda other: F.struct(F.least("block", other).alias("low"), F.greatest("block", other).alias("high"))),
+    )
+    dealt = shared.join(top, "key").withColumn("block", number).withColumn("cell", F.explode(F.when(held, of_held).otherwise(of_strays)))
+    return dealt.select("key", "cell.low", "cell.high", "block", "id", "component")
+
+
 def _cross_pairs(members: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Possible pairs across components within each bucket, block against block.
+    """Possible pairs across components within each cell.
 
     No pair of a bucket ever becomes a row before its signatures were
     compared, and a pair that shares several bands is looked at in the first
@@ -150,11 +175,12 @@ def _cross_pairs(members: DataFrame, percent: int, miss: float) -> DataFrame:
             low, high = group.low.iat[0], group.high.iat[0]
             ids, owner, part = group.id.to_numpy(), group.component.to_numpy(), group.block.to_numpy()
             size, signature, bands = group.n_shingles.to_numpy(), _table(group.signature), np.stack(group.bands)
-            i, j = np.triu_indices(len(ids), 1)
-            fits = owner[i] != owner[j]
-            if low != high:
-                fits &= part[i] != part[j]
-            fits &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
+            if low == high:
+                i, j = np.triu_indices(len(ids), 1)
+            else:
+                x, y = np.flatnonzero(part == low), np.flatnonzero(part == high)
+                i, j = np.repeat(x, len(y)), np.tile(y, len(x))
+            fits = (owner[i] != owner[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
             i, j = i[fits], j[fits]
             for start in range(0, len(i), CHUNK):
                 x, y = i[start : start + CHUNK], j[start : start + CHUNK]
@@ -178,7 +204,7 @@ def near_duplicates(
     bands: int = 40,
     rows: int = 6,
     miss: float = 1e-5,
-    block: int = 1024,
+    block: int = 512,
 ) -> DataFrame:
     """Components of documents whose word-shingle sets overlap by ``percent`` of their union.
 
@@ -189,8 +215,8 @@ def near_duplicates(
     * Candidates share one of ``bands`` MinHash bands of ``rows`` rows; at
       similarity 0.8 the default misses a pair with a chance of 5e-6.
     * Each band's members meet its most central member first (whose bands hold
-      the most documents), then, block by block, the members that are still in
-      other components. Signatures of 1,024 further hashes are compared in
+      the most documents), then, block by block, the members outside the band's
+      largest component meet all that are in other components. Signatures of 1,024 further hashes are compared in
       batches; a pair goes once its posterior chance of being similar is below
       ``miss``.
     * What stays is confirmed on whole shingle sets (64-bit shingle hashes).
@@ -230,19 +256,7 @@ def near_duplicates(
         ),
         "owned",
     )
-    split = shared.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    parts = F.ceil(F.col("members") / F.lit(block)).cast("int")
-    cells = F.transform(
-        F.sequence(F.lit(0), parts - 1),
-        lambda other: F.struct(F.least("block", other).alias("low"), F.greatest("block", other).alias("high")),
-    )
-    rest = (
-        shared.join(split.select("key"), "key")
-        .withColumn("block", F.pmod(F.xxhash64("id"), parts).cast("int"))
-        .withColumn("cell", F.explode(cells))
-        .select("key", "cell.low", "cell.high", "block", "id", "component")
-        .join(nodes.join(marks, "id"), "id")
-    )
+    rest = _cells(shared, block).join(nodes.join(marks, "id"), "id")
     late = _confirmed(_cross_pairs(rest, percent, miss).distinct(), sets, percent)
     owners = components(links.unionByName(late)).withColumnRenamed("id", "rep")
 
