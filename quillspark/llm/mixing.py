@@ -96,14 +96,16 @@ def replicate(
     partitioning gives the same copies, and equal ids get equal counts. All
     columns are kept; ``copy`` numbers a document's copies from 0 and
     ``shuffle_key`` (a hash of seed, id and copy) is the order in which the
-    rows are sorted over all partitions. Sources without a rate give no copy.
+    rows are sorted over all partitions; as such keys are uniform, partitions
+    take equal ranges of them, and no sample is drawn. Sources without a rate
+    give no copy.
 
     Defined cases: a null id draws as the empty id; repeated rows are repeated
     alike; null sources are one source; columns of the input named like an
     output column are replaced; an empty table gives an empty result.
     """
     kept = docs.drop(copy_col, order_col)
-    source, pieces, steps, number = unused(kept, "_source", "_pieces", "_steps", "_count")
+    source, pieces, steps, number, part = unused(kept, "_source", "_pieces", "_steps", "_count", "_part")
     of_rate = _steps(F.col("rate"))
     named = lambda column: F.coalesce(F.col(column).cast("string"), F.lit("\0")).alias(source)
     steps_of = rates.select(named("source"), of_rate[0].alias(pieces), of_rate[1].alias(steps))
@@ -118,10 +120,22 @@ def replicate(
     copies = drawn.withColumn(number, count).where(F.col(number) > 0)
     copies = copies.withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col(number) - 1)))
     mixed = F.md5(F.concat_ws("|", F.lit(f"order{seed}"), ident, F.col(copy_col).cast("string")).cast("binary"))
-    return copies.withColumn(order_col, mixed).select(*kept.columns, copy_col, order_col).orderBy(order_col)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.floor(F.conv(F.substring(order_col, 1, 8), 16, 10).cast("long") * parts / F.lit(2.0**32)).cast("int")
+    dealt = copies.withColumn(order_col, mixed).withColumn(part, place).repartitionById(parts, F.col(part))
+    return dealt.sortWithinPartitions(order_col).select(*kept.columns, copy_col, order_col)
 
 
-def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, **targets) -> DataFrame:
+def mix_sources(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    seed: int = 17,
+    copy_col: str = "copy",
+    order_col: str = "shuffle_key",
+    **targets,
+) -> DataFrame:
     """``source_rates`` over all documents, then ``replicate``."""
     rates = source_rates(docs, source_col=source_col, **targets)
-    return replicate(docs, rates, id_col=id_col, source_col=source_col, seed=seed)
+    return replicate(docs, rates, id_col=id_col, source_col=source_col, seed=seed, copy_col=copy_col, order_col=order_col)
