@@ -57,11 +57,12 @@ def extracted_format(mime: Column) -> Column:
 def analyze_attachments(attachments: DataFrame) -> DataFrame:
     """Adds ``attachment_type``, ``status`` and ``reason``; the first rule that applies decides.
 
-    Unknown types are unsupported; empty texts with a file are left to
-    extraction; short texts and texts of one repeated character are poor.
+    Unknown types are unsupported; empty texts with a file (a link, or a local
+    path) are left to extraction; short texts and texts of one repeated character are poor.
     """
     text = F.coalesce("extracted_text", F.lit(""))
-    by_file = (text == "") & (F.coalesce("download_url", F.lit("")) != "")
+    places = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("download_url", "local_path") if c in attachments.columns]
+    by_file = (text == "") & (F.concat(F.lit(""), *places) != "")
     typed = attachments.withColumn("attachment_type", attachment_type(F.col("mime_type"), F.col("filename")))
     ratio = F.when(F.length(text) >= MIN_TEXT_LENGTH, max_char_ratio(text)).otherwise(0.0)
     reason = (

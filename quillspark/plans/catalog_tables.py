@@ -581,32 +581,120 @@ def idx03(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("run", "upserted", "skipped")
 
 
-@query("syn01_delta_sync", f"WITH {SNAPSHOTS} SELECT 'changed' AS kind, a.page_id FROM after_v a LEFT JOIN before_v b USING (page_id) WHERE (b.page_id IS NULL OR b.version_number <> a.version_number) AND a.page_id::BIGINT % 2 = 0 "
-       "UNION ALL SELECT 'deleted', b.page_id FROM before_v b WHERE b.page_id NOT IN (SELECT page_id FROM after_v)")
+#: What becomes of every page and attachment (``pages_v``, ``files_v``) in one run over all of them.
+_STATUSES = """ratio_v AS (
+  SELECT doc_id, max(n) / sum(n) AS ratio FROM (SELECT doc_id, c, count(*) AS n FROM (
+    SELECT doc_id, unnest(string_split(regexp_replace(text, '\\s+', '', 'g'), '')) AS c FROM documents) WHERE c <> '' GROUP BY 1, 2) GROUP BY 1),
+status_v AS (
+  SELECT doc_id, page_id, '' AS attachment_id, CASE WHEN doc_id % 10 = 0 THEN 'INVALID_ACL' WHEN trim(body_html) = '' THEN 'EMPTY_BODY' ELSE 'SUCCESS' END AS status FROM pages_v
+  UNION ALL SELECT doc_id, page_id, attachment_id, CASE WHEN doc_id % 10 = 0 THEN 'INVALID_ACL' WHEN doc_id % 7 = 5 THEN 'UNSUPPORTED_ATTACH_TYPE'
+    WHEN extracted_text = '' THEN 'SUCCESS' WHEN len(extracted_text) < 200 OR ratio > 0.8 THEN 'LOW_QUALITY_ATTACH' ELSE 'SUCCESS' END
+  FROM files_v LEFT JOIN ratio_v USING (doc_id))"""
+
+
+def _content(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {"cells": views.file_cells(spark, folder), "lines": views.laid_out_lines(spark, folder), "blocks": views.file_blocks(spark, folder)}
+
+
+@query(
+    "idx03_ingestion_results",
+    f"""WITH {PAGES}, {FILES}, {_STATUSES}
+    SELECT page_id, attachment_id, status, status = 'SUCCESS' AS indexed, status = 'SUCCESS' AS skipped_again FROM status_v""",
+)
+def idx03_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages and attachments: what became of each, and that a second run on the cache skips all that the first one indexed."""
+    pages, files = views.pages(spark, folder), views.attachments(spark, folder)
+    empty = spark.createDataFrame([], indexing.CACHE)
+    first = indexing.run_ingestion(pages, empty, attachments=files, is_html=False, **_content(spark, folder))
+    results = store.stage(first["results"], "results")
+    second = indexing.run_ingestion(pages, store.stage(first["new_cache"], "cache"), attachments=files, is_html=False, **_content(spark, folder))
+    again = second["results"].select("page_id", "attachment_id", (F.col("upserted") == 0).alias("_quiet"), F.col("skipped").alias("_skipped"))
+    joined = results.join(again, ["page_id", "attachment_id"], "left")
+    same = F.coalesce(F.col("_quiet") & (F.col("chunks") > 0) & (F.col("_skipped") == F.col("chunks")), F.lit(False))
+    return joined.select("page_id", "attachment_id", "status", (F.col("upserted") > 0).alias("indexed"), same.alias("skipped_again"))
+
+
+@query(
+    "idx02_lookup_links",
+    f"""WITH {PAGES}, {FILES}, {_STATUSES} SELECT s.page_id, s.attachment_id, CASE WHEN s.attachment_id <> '' THEN f.download_url END AS download_url, 'true' AS three_pools
+    FROM status_v s LEFT JOIN files_v f ON f.attachment_id = s.attachment_id WHERE status = 'SUCCESS'""",
+)
+def idx02(spark: SparkSession, folder: str) -> DataFrame:
+    """Lookup rows with their links and points of every pool, after an upsert over older ones."""
+    pages, files = views.pages(spark, folder), views.attachments(spark, folder)
+    empty = spark.createDataFrame([], indexing.CACHE)
+    done = indexing.run_ingestion(pages, empty, attachments=files, is_html=False, **_content(spark, folder))
+    older = {x: done[x].where("false") for x in ("payload", "points")} | {"lookup": done["lookup"].withColumn("download_url", F.lit("old")), "cache": empty}
+    held = indexing.upsert_index(older, done)
+    pools = held["points"].groupBy("chunk_id").agg((F.count_distinct("pool") == 3).alias("_all"))
+    rows = held["lookup"].join(pools, "chunk_id", "left").join(held["payload"].select("chunk_id", "page_id", F.coalesce("attachment_id", F.lit("")).alias("attachment_id")), "chunk_id")
+    return rows.groupBy("page_id", "attachment_id").agg(F.min("download_url").alias("download_url"), F.min(F.coalesce("_all", F.lit(False)).cast("string")).alias("three_pools"))
+
+
+@query(
+    "syn01_delta_sync",
+    f"""WITH {SNAPSHOTS}, changed_v AS (
+      SELECT a.page_id, a.page_id::BIGINT AS key FROM after_v a LEFT JOIN before_v b USING (page_id) WHERE b.page_id IS NULL OR b.version_number <> a.version_number)
+    SELECT CASE WHEN key % 19 = 4 THEN 'failed' ELSE 'changed' END AS kind, page_id,
+      CASE WHEN key % 19 = 4 THEN 'transform_changed_html' WHEN key % 3 = 1 THEN 'INVALID_ACL' ELSE 'SUCCESS' END AS status FROM changed_v WHERE key % 2 = 0
+    UNION ALL SELECT 'deleted', b.page_id, '' FROM before_v b WHERE b.page_id NOT IN (SELECT page_id FROM after_v)
+    UNION ALL SELECT 'promoted', 'true', ''""",
+)
 def syn01(spark: SparkSession, folder: str) -> DataFrame:
-    changed, gone = indexing.run_delta_sync(*views.snapshots(spark, folder), changed_filter="cast(page_id as long) % 2 = 0")
-    return changed.select(F.lit("changed").alias("kind"), "page_id").unionByName(gone.select(F.lit("deleted").alias("kind"), "page_id"))
+    """Orders as changed documents of two spaces, some without a time or without an access list."""
+    before, after = views.snapshots(spark, folder)
+    number = F.col("o_orderkey")
+    documents = views.table(spark, folder, "orders").select(
+        number.cast("string").alias("page_id"), F.when(number % 2 == 0, "even").otherwise("odd").alias("space_key"), F.lit("").alias("space_name"),
+        F.lit(None).cast("string").alias("name"), F.concat(F.lit("Order "), number.cast("string")).alias("title"), F.lit("/orders").alias("page_url"),
+        F.concat(F.lit("<p>Order of customer "), F.col("o_custkey").cast("string"), F.lit(" is "), "o_orderstatus", F.lit("</p>")).alias("body_html"),
+        F.lit(1).alias("version_number"), F.when(number % 19 != 4, F.lit("2024-01-01T00:00:00+0000")).alias("last_modified_at"),
+    )
+    acl = documents.where("cast(page_id as long) % 3 <> 1").select("page_id", F.array(F.lit("staff")).alias("allowed_groups"), F.array().cast("array<string>").alias("allowed_users"))
+    run = indexing.run_delta_sync(before, after, documents, acl, spark.createDataFrame([], indexing.CACHE), space_key="even")
+    rows = run["results"].select(F.lit("changed").alias("kind"), "page_id", "status")
+    rows = rows.unionByName(run["failures"].select(F.lit("failed").alias("kind"), "page_id", F.col("stage").alias("status")))
+    rows = rows.unionByName(run["deleted"].select(F.lit("deleted").alias("kind"), "page_id", F.lit("").alias("status")))
+    return rows.unionByName(run["may_promote"].select(F.lit("promoted").alias("kind"), F.col("may_promote").cast("string").alias("page_id"), F.lit("").alias("status")))
 
 
-@query("syn03_may_promote", "SELECT count(*) FILTER (WHERE event_type = 'error' AND value > 1e9) = 0 AS may_promote FROM events")
+@query(
+    "syn03_may_promote",
+    """SELECT run, count(*) FILTER (WHERE stage = 'list_spaces' OR stage = 'fetch_page_detail' AND retryable) = 0 AS may_promote FROM (
+      SELECT user_id % 8 AS run, CASE event_type WHEN 'error' THEN 'fetch_page_detail' WHEN 'signup' THEN CASE WHEN user_id % 8 = 3 THEN 'list_spaces' ELSE 'cleanup' END
+        ELSE 'cleanup' END AS stage, event_id % 2 = 0 AND user_id % 8 < 2 AS retryable FROM events) GROUP BY run""",
+)
 def syn03(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as failures of eight runs, of which some block their snapshot."""
+    run, kind = F.col("user_id") % 8, F.col("event_type")
     failures = views.table(spark, folder, "events").select(
-        F.when(F.col("event_type") == "error", "fetch_page_detail").otherwise("cleanup").alias("stage"), (F.col("value") > 1e9).alias("retryable")
-    )
-    return indexing.may_promote(failures)
+        run.alias("run"), F.when(kind == "error", "fetch_page_detail").when((kind == "signup") & (run == 3), "list_spaces").otherwise("cleanup").alias("stage"),
+        ((F.col("event_id") % 2 == 0) & (run < 2)).alias("retryable"),
+    )
+    return indexing.may_promote(failures, "run")
 
 
-@query("st01_stream_chunking", f"WITH {PAGES} SELECT page_id FROM pages_v WHERE doc_id % 5 IN (0, 1)")
+@query(
+    "st01_stream_chunking",
+    f"""WITH {PAGES}, {FILES}, {_STATUSES}
+    SELECT page_id, attachment_id, status, status = 'SUCCESS' AS indexed FROM status_v WHERE doc_id % 5 = CASE WHEN attachment_id = '' THEN 0 ELSE 1 END
+    UNION ALL SELECT NULL, '', CASE doc_id % 5 WHEN 2 THEN 'unknown page' WHEN 3 THEN 'unknown attachment' ELSE 'malformed' END, false FROM documents WHERE doc_id % 5 >= 2""",
+)
 def st01(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents streamed as messages, of which some are malformed."""
-    number = F.col("doc_id").cast("string")
+    """Documents streamed as messages about pages, attachments, unknown pages and attachments, and malformed ones."""
+    number, kind = F.col("doc_id").cast("string"), F.col("doc_id") % 5
+    message = lambda page, rest: F.concat(F.lit('{"page_id":"'), page, rest)
     value = (
-        F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit('{"page_id":"'), number, F.lit('","source_type":"page"}')))
-        .when(F.col("doc_id") % 5 == 1, F.concat(F.lit('{"page_id":"'), number, F.lit('","source_type":"attachment","attachment_id":"a"}')))
+        F.when(kind == 0, message(number, F.lit('","source_type":"page"}')))
+        .when(kind == 1, message(number, F.concat(F.lit('","source_type":"attachment","attachment_id":"'), number, F.lit('-att-0"}'))))
+        .when(kind == 2, message(F.concat(F.lit("none"), number), F.lit('"}')))
+        .when(kind == 3, message(number, F.lit('","source_type":"attachment","attachment_id":"lost"}')))
         .otherwise(F.concat(F.lit("not json "), number))
     )
     stream = _stream(spark, folder, "documents").select(value.alias("value"))
-    return streams.stream_chunking(stream, views.pages(spark, folder))[0].select("page_id")
+    out = streams.stream_chunking(stream, views.pages(spark, folder), raw_attachments=views.attachments(spark, folder), is_html=False, **_content(spark, folder))
+    rejected = out["rejected"].select(F.lit(None).cast("string").alias("page_id"), F.lit("").alias("attachment_id"), F.col("reason").alias("status"), F.lit(False).alias("indexed"))
+    return out["results"].select("page_id", "attachment_id", "status", (F.col("upserted") > 0).alias("indexed")).unionByName(rejected)
 
 
 def _stream(spark: SparkSession, folder: str, table: str) -> DataFrame:

@@ -107,6 +107,18 @@ def laid_out_lines(spark: SparkSession, folder: str) -> DataFrame:
     ).where("text <> ''")
 
 
+def file_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of documents as blocks of a word processor; every sixth line is a heading."""
+    rows = laid_out_lines(spark, folder).select("attachment_id", "line_no", "text")
+    return rows.withColumn("style", F.when(F.col("line_no") % 6 == 0, "Heading 2").otherwise("Normal"))
+
+
+def file_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of documents as rows of a sheet without a header: the line's number, then its words."""
+    rows = laid_out_lines(spark, folder).select("attachment_id", F.lit("items").alias("sheet_name"), F.col("line_no").cast("long").alias("row_no"), "text")
+    return rows.select("attachment_id", "sheet_name", "row_no", F.concat(F.array(F.col("row_no").cast("string")), F.split("text", " ")).alias("cells"))
+
+
 def progress(spark: SparkSession, folder: str) -> DataFrame:
     """Events as progress of ingestion jobs; a sign-up ends a job."""
     return table(spark, folder, "events").select(

@@ -20,6 +20,7 @@ RESPONSES = (
     " metadata: struct<labels: struct<results: array<struct<name: string>>>>, ancestors: array<struct<title: string>>,"
     " attachments: array<struct<filename: string, content_type: string>>>>"
 )
+#: Encodings of CSV files, in the order in which they are tried.
 ENCODINGS = ("utf-8-sig", "cp949", "utf-8", "latin-1")
 
 
@@ -70,12 +71,14 @@ def map_crawled_documents(docs: DataFrame, chain: DataFrame, site: str) -> DataF
     return joined.withColumn("ancestors", F.coalesce(F.col("_path._title"), none)).withColumn("labels", none).drop("_path")
 
 
-def map_changed_documents(changed: DataFrame, acl: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(page rows of a delta with their access lists, rows without a modification time)."""
+def map_changed_documents(changed: DataFrame, acl: DataFrame, site: str = "") -> tuple[DataFrame, DataFrame]:
+    """(page rows of a delta with their access lists, rows without a modification time); a delta gives no labels or ancestors."""
     none = F.array().cast("array<string>")
+    link = F.col("page_url") if "page_url" in changed.columns else F.lit("")
     flat = changed.select(
         "page_id", "space_key", F.coalesce("space_name", "name", F.lit("")).alias("space_name"), "title", "body_html",
         F.coalesce("version_number", F.lit(0)).alias("version_number"), parse_iso_offset(F.col("last_modified_at")).alias("last_modified"),
+        normalize_link(link, site).alias("webui_link"), none.alias("labels"), none.alias("ancestors"),
     )
     joined = flat.join(acl.select("page_id", "allowed_groups", "allowed_users"), "page_id", "left")
     joined = joined.withColumn("allowed_groups", F.coalesce("allowed_groups", none)).withColumn("allowed_users", F.coalesce("allowed_users", none))
