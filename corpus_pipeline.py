@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import is_small, stash
+from quillspark.llm.common import is_small, stash, unused
 from quillspark.llm.decontamination import decontaminate
 from quillspark.llm.mixing import mix_sources
 from quillspark.llm.near_dup import near_duplicates
@@ -27,10 +27,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: of each group of near-duplicates (five-word shingles, 0.8) the smallest id stays."""
-    found = near_duplicates(docs, width=5, percent=80)
-    gone = stash(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    found, name = near_duplicates(docs, width=5, percent=80), unused(docs, "gone")[0]
+    gone = stash(found.where("not kept").select(F.col("doc_id").alias(name)).distinct(), "gone")
     gone = F.broadcast(gone) if is_small(gone) else gone
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[name], "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +41,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents repeat so that sources meet the square roots of their sizes, in shuffled order.
 
-    Sizes are counted from the texts; a source without any text keeps a copy of each document on average.
+    Sizes are counted from the texts; a source without any text keeps a copy of each document on average. Columns of
+    the input keep their values, whatever their names.
     """
-    mixed = mix_sources(docs, size=F.coalesce(F.length("text"), F.lit(0)), temperature=0.5, bare=1.0)
-    return mixed.select(*docs.columns)
+    copy, key = unused(docs, "copy", "shuffle_key")
+    size = F.coalesce(F.length("text"), F.lit(0))
+    return mix_sources(docs, size=size, temperature=0.5, bare=1.0, copy_col=copy, order_col=key).select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
