@@ -15,10 +15,12 @@ BROADCAST_ROWS = 500_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local one is made only where that is unset (tests)."""
+    """The folder in ``spark.checkpoint.dir``, which all executors and the driver share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-quill-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="spark-quill-")  # one process: the folder is shared
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/quillspark-{spark.sparkContext.applicationId}"
 

@@ -126,23 +126,25 @@ def _hash(line: str) -> tuple[int, int]:
 
 
 def _occurrences(texts: DataFrame) -> DataFrame:
+    """(id, t, line_no, h, h2): every line of every text; ``t`` tells texts of one id apart."""
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, places, firsts, seconds = [], [], [], []
-            for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
+            rows, places, hashes = [], [], []
+            for row, text in enumerate(batch.column("text")):
                 for k, line in enumerate(lines_of(text.as_py())):
                     if line:
-                        a, b = _hash(line)
-                        ids.append(doc_id)
+                        rows.append(row)
                         places.append(k)
-                        firsts.append(a)
-                        seconds.append(b)
+                        hashes.append(_hash(line))
+            rows = pa.array(rows, pa.int64())
+            first, second = zip(*hashes, strict=True) if hashes else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(places, pa.int32()), pa.array(firsts, pa.int64()), pa.array(seconds, pa.int64())],
-                ["id", "line_no", "h", "h2"],
+                [batch.column("id").take(rows), batch.column("t").take(rows), pa.array(places, pa.int32()), pa.array(first, pa.int64()), pa.array(second, pa.int64())],
+                ["id", "t", "line_no", "h", "h2"],
             )
 
-    return texts.mapInArrow(each, "id long, line_no int, h long, h2 long")
+    return texts.mapInArrow(each, "id long, t long, line_no int, h long, h2 long")
 
 
 def _keys(texts: DataFrame, limit: int, least: int) -> DataFrame:
@@ -384,7 +386,7 @@ def grown_links(texts: DataFrame, limit: int, least: int, block: int = 1024) ->
 
 
 def duplicate_lines(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits: int = 1, least: int = 16, growing: bool = False
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits: int = 1, least: int = 16, growing: bool = False, hashed: bool = False
 ) -> DataFrame:
     """Per document: its lines and those that repeat an earlier line, of its own or another document.
 
@@ -404,13 +406,16 @@ def duplicate_lines(
     longer lines meet in window minima as well (``grown_links``).
 
     Defined cases: a null or empty text has no lines. Rows with a null id sort
-    first. Repeated rows are one document: they get the same numbers. Several
-    texts under one id share the numbers of all of them. Other columns are
-    ignored; an empty table gives an empty result.
+    first. Repeated rows are one document: they get the same numbers. Different
+    texts under one id, or without one, are documents of their own; of lines at
+    one place the smaller hash of the text comes first. With ``hashed`` a column
+    ``text_hash`` tells them apart. Other columns are ignored; an empty table
+    gives an empty result.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("t"))
     seen = stash(_occurrences(texts), "occurrences")
-    first = F.min(F.struct("id", "line_no")).alias("first")
+    first = F.min(F.struct("id", "line_no", "t")).alias("first")
     single = stash(seen.groupBy("h", "h2").agg(first, F.count("*").alias("n")), "distinct")
     links = line_links(texts, edits, least)
     if growing:
@@ -421,20 +426,28 @@ def duplicate_lines(
     linked = owned.where("component is not null").drop("first").join(alike, "component").select("h", "h2", "first")
     known = linked.unionByName(owned.where("component is null and n > 1").select("h", "h2", "first"))
     placed = lookup(seen, stash(known, "repeated"), ["h", "h2"]).where("first is not null")
-    gone = placed.where(~F.struct("id", "line_no").eqNullSafe(F.col("first"))).groupBy("id")
-    gone = gone.agg(F.array_sort(F.collect_set("line_no")).alias("dropped")).withColumnRenamed("id", "_id")
-    sized = texts.select("id", F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).alias("n_lines"))
-    joined = sized.join(stash(gone, "dropped"), sized["id"].eqNullSafe(F.col("_id")), "left")
+    gone = placed.where(~F.struct("id", "line_no", "t").eqNullSafe(F.col("first"))).groupBy("id", "t")
+    gone = gone.agg(F.array_sort(F.collect_set("line_no")).alias("dropped")).withColumnsRenamed({"id": "_id", "t": "_t"})
+    sized = texts.select("id", "t", F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).alias("n_lines"))
+    joined = sized.join(stash(gone, "dropped"), sized["id"].eqNullSafe(F.col("_id")) & (sized["t"] == F.col("_t")), "left")
     dropped = F.coalesce("dropped", F.array().cast("array<int>"))
-    return joined.select(F.col("id").alias(id_col), "n_lines", F.size(dropped).alias("n_dropped"), dropped.alias("dropped"))
+    more = [F.col("t").alias("text_hash")] if hashed else []
+    return joined.select(F.col("id").alias(id_col), "n_lines", F.size(dropped).alias("n_dropped"), dropped.alias("dropped"), *more)
 
 
 def drop_lines(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents without the lines that ``duplicate_lines`` found; all columns are kept, untouched lines unchanged."""
-    key, gone = unused(docs, "_id", "_dropped")
-    marked = found.where((F.col("n_dropped") > 0) & F.col(id_col).isNotNull())
-    marked = marked.select(F.col(id_col).alias(key), F.col("dropped").alias(gone)).dropDuplicates([key])
-    joined = docs.join(marked, docs[id_col] == marked[key], "left")
+    """Documents without the lines that ``duplicate_lines`` found; all columns are kept, untouched lines unchanged.
+
+    Without the column ``text_hash`` (see ``hashed`` there), texts of an id that
+    has several different results cannot be told apart and stay as they are.
+    """
+    key, mark, gone, many = unused(docs, "_id", "_hash", "_dropped", "_many")
+    hashed = "text_hash" in found.columns
+    own = F.xxhash64(F.col(text_col).cast("string")) if hashed else F.lit(0).cast("long")
+    marked = found.select(F.col(id_col).alias(key), (F.col("text_hash") if hashed else F.lit(0).cast("long")).alias(mark), F.struct("n_lines", "dropped").alias(gone))
+    marked = marked.groupBy(key, mark).agg(F.min(gone).alias(gone), F.max(gone).alias(many)).where(F.col(gone) == F.col(many))
+    marked = marked.select(key, mark, F.col(f"{gone}.dropped").alias(gone)).where(F.size(gone) > 0)
+    joined = docs.join(marked, docs[id_col].cast("long").eqNullSafe(marked[key]) & (own == marked[mark]), "left")
     kept = F.filter(F.split(text_col, "\n"), lambda line, k: ~F.array_contains(gone, k))
     text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     return joined.withColumn(text_col, text).select(*docs.columns)

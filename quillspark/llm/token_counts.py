@@ -53,10 +53,11 @@ def write_token_files(
 ) -> DataFrame:
     """Encode whole texts into flat files of 16-bit ids, each text followed by the separator.
 
-    One file per partition, without header or index: written under a name of
-    the attempt's own and renamed when complete, so a repeated or speculative
-    task replaces the same bytes. Returns which document is in which place:
-    ``file``, ``ordinal`` (from 0) and the id column.
+    One file per partition, without header or index. Each attempt of a task
+    writes a file of its own; the rows returned (``file``, ``ordinal`` from 0
+    and the id column: which document is in which place) name only the files of
+    the attempts that Spark took, so what a lost or speculative attempt left
+    behind is in no row, and joins with nothing.
 
     Texts that spell the separator are ordinary text. Null and empty texts are
     documents without tokens.
@@ -72,11 +73,10 @@ def write_token_files(
         import tiktoken
 
         encoder = tiktoken.Encoding("flat", pat_str=CUT, mergeable_ranks=ranks.value, special_tokens={})
-        name = f"part-{TaskContext.get().partitionId():06d}.bin"
+        name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.bin"  # of this attempt alone
         fs, path = _open(folder)
-        draft = f"{path}/.{name}-{uuid.uuid4().hex}"
         ordinal = 0
-        with fs.open_output_stream(draft) as out:
+        with fs.open_output_stream(f"{path}/{name}") as out:
             for batch in batches:
                 for text in batch.column("text"):
                     for piece in _pieces(text.as_py() or ""):
@@ -88,7 +88,6 @@ def write_token_files(
                     ["file", "ordinal", "id"],
                 )
                 ordinal += count
-        fs.move(draft, f"{path}/{name}")
 
     return stash(texts.mapInArrow(each, "file string, ordinal long, id long"), "manifest").withColumnRenamed("id", id_col)
 

@@ -271,7 +271,8 @@ def score_toxicity(
     text without any feature; an id with several labels takes the largest;
     labels that are null or not 0 or 1, or belong to no document, are left
     out; a row with a null id is scored, never trained on, and not held out.
-    Repeated rows give repeated results. Without usable labels only the fixed
+    Repeated rows give repeated results; of several texts under one id of the
+    sample one is trained on. Without usable labels only the fixed
     lexicons and patterns vote. Other columns are ignored; an empty table gives
     an empty result.
     """
@@ -305,7 +306,8 @@ def score_toxicity(
     bits = (patterns[:, :1] >> np.arange(len(VOTERS))) & 1
     if len(patterns):
         model.fit(bits, patterns[:, 1], patterns[:, 2].astype(float))
-    taught = labelled.join(first.select("id"), "id", "left_semi").select("votes", "label", "features").collect()  # the sample
+    taught = labelled.join(first.select("id"), "id", "left_semi").groupBy("id").agg(F.min(F.struct("votes", "label", "features")).alias("row"))
+    taught = taught.select("row.*").collect()  # one row for each id of the sample
     rows = []
     if taught:
         marks = np.array([[r.votes, r.label] for r in taught], dtype=np.int64)

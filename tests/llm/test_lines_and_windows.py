@@ -5,6 +5,7 @@ import random
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quillspark.llm.decontamination import HammingIndex, benchmark_hits, decontaminate, fingerprint, window_marks
 from quillspark.llm.line_dedup import Keys, drop_lines, duplicate_lines, within_edits
@@ -83,6 +84,17 @@ def test_line_cases(spark):
     assert duplicate_lines(docs.limit(0)).count() == 0
 
 
+def test_texts_of_one_id_are_told_apart(spark):
+    common = "a line that several documents have"
+    rows = [(1, f"{common}\nonly in the first of id one"), (1, f"unlike all others here\n{common}"), (None, f"{common}\nnull one"), (None, f"null two, quite long\n{common}"), (2, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", F.lit("x"))
+    found = duplicate_lines(docs, hashed=True)
+    texts = sorted(r.text for r in drop_lines(docs, found).collect())
+    assert sum(common in t for t in texts) == 1 and all(any(x in t for t in texts) for x in ("only in the first", "unlike all", "null one", "null two", "alone"))
+    plain = sorted(r.text for r in drop_lines(docs, found.drop("text_hash")).collect())
+    assert all(any(x in t for t in plain) for x in ("only in the first", "unlike all", "null one", "null two"))
+
+
 def windows_brute(docs, items, width=5, percent=80):
     from collections import Counter
 

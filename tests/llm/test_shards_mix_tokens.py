@@ -76,7 +76,9 @@ def test_poisson_inversion(spark):
         n = np.array([counts[k] for k in range(4000)])
         assert abs(n.mean() - rate) < 5 * math.sqrt(rate / 4000) + 1e-9
         assert abs(n.var() - rate) < 0.15 * rate + 1e-9
-    assert abs((np.array([Counter(n)[k] for k in range(2)]) / 4000).sum()) <= 1
+        for k in range(6):  # shares of each count against the distribution's own
+            chance = math.exp(-rate) * rate**k / math.factorial(k)
+            assert abs(int((n == k).sum()) - 4000 * chance) <= 5 * math.sqrt(4000 * chance * (1 - chance)) + 1e-9
 
 
 def test_mixture_cases(spark):
