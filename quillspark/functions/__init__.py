@@ -1 +1 @@
-"""Scalar functions: column in, column out, built-in expressions except for the HTML renderer."""
+"""Scalar functions: column in, column out, built-in expressions but for the HTML renderer and the character count."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,20 +68,31 @@ def pool_texts(title: Column, filename: Column, header: Column, text: Column, la
     )
 
 
+#: Code points that ``SPACES`` matches.
+_SPACE_POINTS = np.array([*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
+
+def top_share(text: str | None) -> float:
+    """Share of the most frequent code point among those that are not white space; 0 without any."""
+    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    if not len(points):
+        return 0.0
+    if int(points.max()) < 1 << 16:
+        counts = np.bincount(points, minlength=int(_SPACE_POINTS.max()) + 1)
+        counts[_SPACE_POINTS] = 0
+    else:
+        counts = np.unique(points[~np.isin(points, _SPACE_POINTS)], return_counts=True)[1]
+    total = int(counts.sum())
+    return float(counts.max()) / total if total else 0.0
+
+
 def max_char_ratio(text: Column) -> Column:
-    """Share of the most frequent character among those that are not white space; 0 without any."""
-    dense = F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, "")
-    letters = F.array_sort(F.split(dense, ""))
-    runs = F.aggregate(
-        letters,
-        F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best")),
-        lambda acc, x: F.struct(
-            x.alias("last"),
-            F.when(x == acc["last"], acc["run"] + 1).otherwise(F.lit(1)).alias("run"),
-            F.greatest(acc["best"], F.when(x == acc["last"], acc["run"] + 1).otherwise(F.lit(1))).alias("best"),
-        ),
-    )
-    return F.when(F.length(dense) == 0, F.lit(0.0)).otherwise(runs["best"] / F.length(dense))
+    """``top_share`` over a column, counted in Arrow batches."""
+
+    def each(texts: pd.Series) -> pd.Series:
+        return texts.map(top_share).astype("float64")
+
+    return F.pandas_udf(each, "double")(text)
 
 
 def normalize_link(link: Column, site: str) -> Column:

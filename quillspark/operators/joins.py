@@ -12,13 +12,15 @@ from quillspark.functions.text import DEFAULT_DOC_TYPE, sample_text
 
 Classifier = Callable[[list[str]], list[tuple[str, float] | None]]
 
-#: A side is broadcast up to so many rows; beyond that the join shuffles.
-SMALL_ROWS = 100_000
+#: A side is broadcast up to so many rows and characters; beyond that the join shuffles.
+SMALL_ROWS, SMALL_CHARS = 100_000, 32_000_000
 
 
 def small(frame: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """The frame, to be broadcast if it has few rows; counts no further than the bound."""
-    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+    """The frame, to be broadcast if it has few rows that are not wide; counts no further than the bound."""
+    size = F.sum(F.length(F.to_json(F.struct("*")))) if frame.columns else F.lit(0)
+    count, chars = frame.limit(rows + 1).agg(F.count("*"), size).first()
+    return F.broadcast(frame) if count <= rows and (chars or 0) <= SMALL_CHARS else frame
 
 
 def load_message_pages(messages: DataFrame, raw_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -162,5 +164,5 @@ def union_delete_candidates(delta: DataFrame, trash: DataFrame, webhook: DataFra
 
 
 def sorted_ids(frame: DataFrame, group: str, ident: str) -> DataFrame:
-    """Sorted distinct ids per group: a report, for id sets that a person reads."""
-    return frame.groupBy(group).agg(F.sort_array(F.collect_set(ident)).alias("ids"))
+    """Distinct ids of each group as rows, sorted by group and id over all partitions, so that no row grows with a group."""
+    return frame.select(group, ident).distinct().orderBy(group, ident)

@@ -11,15 +11,16 @@ TERMINAL = ("COMPLETED", "FAILED")
 
 
 def crawl_report(pages: DataFrame, attachments: DataFrame, failures: DataFrame) -> DataFrame:
-    """Pages, attachments and failed ids per space."""
-    n_files = attachments.groupBy("space_key").agg(F.count("*").alias("attachments"))
-    failed = failures.groupBy("space_key").agg(F.sort_array(F.collect_list("page_id")).alias("failed_ids"))
-    counted = pages.groupBy("space_key").agg(F.count("*").alias("pages"))
-    joined = counted.join(n_files, "space_key", "full_outer").join(failed, "space_key", "full_outer")
-    zero, none = F.lit(0).cast("long"), F.array().cast("array<string>")
-    return joined.select(
-        "space_key", F.coalesce("pages", zero).alias("pages"), F.coalesce("attachments", zero).alias("attachments"), F.coalesce("failed_ids", none).alias("failed_ids")
-    )
+    """Pages, attachments and failed pages per space, counted; ``failed_ids`` lists the last."""
+    counted = lambda frame, name: frame.groupBy("space_key").agg(F.count("*").alias(name))
+    joined = counted(pages, "pages").join(counted(attachments, "attachments"), "space_key", "full_outer").join(counted(failures, "failed"), "space_key", "full_outer")
+    zero = F.lit(0).cast("long")
+    return joined.select("space_key", *(F.coalesce(c, zero).alias(c) for c in ("pages", "attachments", "failed")))
+
+
+def failed_ids(failures: DataFrame) -> DataFrame:
+    """Failed pages as rows, sorted by space and id."""
+    return failures.select("space_key", "page_id").orderBy("space_key", "page_id")
 
 
 def message_results(chunks: DataFrame, to_index: DataFrame, gates: DataFrame) -> DataFrame:
@@ -35,9 +36,14 @@ def message_results(chunks: DataFrame, to_index: DataFrame, gates: DataFrame) ->
 
 
 def index_report(to_index: DataFrame, skipped: DataFrame) -> DataFrame:
-    """One row: how many chunks were upserted and how many skipped."""
-    both = to_index.select(F.lit(True).alias("up")).unionByName(skipped.select(F.lit(False).alias("up")))
-    return both.agg(F.count_if("up").alias("upserted"), F.count_if(~F.col("up")).alias("skipped"))
+    """One row: how many chunks were upserted and how many skipped; ``index_ids`` lists them."""
+    return index_ids(to_index, skipped).agg(F.count_if(F.col("outcome") == "upserted").alias("upserted"), F.count_if(F.col("outcome") == "skipped").alias("skipped"))
+
+
+def index_ids(to_index: DataFrame, skipped: DataFrame) -> DataFrame:
+    """(outcome, chunk_id) of every chunk of a run."""
+    named = lambda frame, outcome: frame.select(F.lit(outcome).alias("outcome"), "chunk_id")
+    return named(to_index, "upserted").unionByName(named(skipped, "skipped"))
 
 
 def job_totals(results: DataFrame) -> DataFrame:
@@ -57,15 +63,17 @@ def sync_log_rows(jobs: DataFrame) -> DataFrame:
     )
 
 
-def soft_delete_report(ids: DataFrame, points: DataFrame) -> DataFrame:
-    """Sorted ids per kind that have points, and those that have none."""
+def soft_delete_ids(ids: DataFrame, points: DataFrame) -> DataFrame:
+    """(kind, id, applied): whether each id that was asked for has points."""
     ident = F.when(F.col("source_type") == "attachment", F.col("attachment_id")).otherwise(F.col("page_id"))
     stored = points.select(F.col("source_type").alias("kind"), ident.alias("id")).distinct().withColumn("found", F.lit(True))
     asked = ids.select("kind", F.trim("id").alias("id")).where("id <> ''").distinct().join(stored, ["kind", "id"], "left")
-    return asked.groupBy("kind").agg(
-        F.sort_array(F.collect_set(F.when(F.col("found"), F.col("id")))).alias("applied"),
-        F.sort_array(F.collect_set(F.when(F.col("found").isNull(), F.col("id")))).alias("missing"), F.count("found").alias("total"),
-    )
+    return asked.select("kind", "id", F.coalesce("found", F.lit(False)).alias("applied"))
+
+
+def soft_delete_report(ids: DataFrame, points: DataFrame) -> DataFrame:
+    """How many ids of each kind have points, and how many have none; ``soft_delete_ids`` lists them."""
+    return soft_delete_ids(ids, points).groupBy("kind").agg(F.count_if("applied").alias("applied"), F.count_if(~F.col("applied")).alias("missing"))
 
 
 def term_frequencies(frame: DataFrame, ident: str, text: str, vocabulary: int = 100_000) -> DataFrame:
@@ -93,12 +101,20 @@ def pdf_body_font_size(lines: DataFrame) -> DataFrame:
 
 
 def chunk_quality(chunks: DataFrame) -> DataFrame:
-    """Shares that the chunker aims at, and the median of tokens."""
+    """Shares that the chunker aims at, and the median of tokens.
+
+    ``with_columns`` is the share of sheet chunks all of whose rows name their
+    columns ("[sheet] column: value"), null for other types; it needs ``text``.
+    """
     share = lambda cond: F.avg(cond.cast("double"))
     missing = F.col("page_id").isNull() | (F.coalesce("section_header", F.lit("")) == "") | (F.coalesce("space_key", F.lit("")) == "")
+    more = []
+    if "text" in chunks.columns:
+        named = F.forall(F.split("text", "\n"), lambda line: line.rlike(r"^\[.*\] [^:]+: "))
+        more = [share(F.when(F.col("doc_type").isin("xlsx", "csv"), named)).alias("with_columns")]
     return chunks.groupBy("doc_type").agg(
         F.count("*").alias("chunks"), share(F.col("token_count").between(200, 800)).alias("in_range"), share(missing).alias("missing_metadata"),
-        share(F.col("section_header") != "untitled").alias("with_header"), F.percentile("token_count", F.lit(0.5)).alias("median_tokens"),
+        share(F.col("section_header") != "untitled").alias("with_header"), F.percentile("token_count", F.lit(0.5)).alias("median_tokens"), *more,
     )
 
 
@@ -106,6 +122,12 @@ def failed_jobs(log: DataFrame) -> DataFrame:
     return log.where("status <> 'SUCCESS'").groupBy("stage", "status").agg(F.count("*").alias("jobs"), F.min("started_at").alias("first_at"))
 
 
+def failed_job_rows(log: DataFrame, page_id: str | None = None) -> DataFrame:
+    """Failed jobs by page and start time: of one page, or all in that order."""
+    failed = log.where("status <> 'SUCCESS'")
+    return (failed if page_id is None else failed.where(F.col("page_id") == page_id)).orderBy("page_id", "started_at")
+
+
 def job_state_latest(progress: DataFrame) -> DataFrame:
     """State of each job after its progress in order of (ts, event_id); what follows a terminal state counts for nothing."""
     order = Window.partitionBy("job_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)

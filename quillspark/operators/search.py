@@ -11,45 +11,64 @@ from pyspark.sql import functions as F
 
 from quillspark.operators.joins import small
 
-#: Queries that are broadcast and multiplied with a batch of points at once.
-QUERY_BLOCK = 1024
+#: Queries that are broadcast together; more meet blocks of points of so many rows in a shuffle.
+QUERY_BLOCK, POINT_BLOCK = 8192, 16384
+
+
+def _best(names: np.ndarray, asked: np.ndarray, ids: np.ndarray, table: np.ndarray, k: int) -> pd.DataFrame:
+    """The k best points of each query among these, by cosine, ties to the smaller id."""
+    asked, table = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) for x in (asked, table))
+    out = {"query_id": [], "id": [], "score": []}
+    for start in range(0, len(names), 512):
+        scores = np.round(asked[start : start + 512] @ table.T, 12)
+        few = min(k, len(ids))
+        for name, row in zip(names[start : start + 512], scores, strict=True):
+            rows = np.flatnonzero(row >= np.partition(row, len(row) - few)[len(row) - few])
+            rows = rows[np.lexsort((ids[rows], -row[rows]))[:few]]
+            out["query_id"].append(np.full(few, name))
+            out["id"].append(ids[rows])
+            out["score"].append(row[rows])
+    return pd.DataFrame({name: np.concatenate(x) if x else [] for name, x in out.items()})
 
 
 def dense_search(points: DataFrame, queries: DataFrame, *, k: int = 20, where: Column | None = None) -> DataFrame:
     """Cosine top k of ``points(id, dense)`` for each of ``queries(query_id, dense)``; filters come before ranking.
 
-    Queries are taken in blocks of bounded size; each batch of points is
-    multiplied with a block and keeps its own k best per query, so that only
-    those are shuffled. Ties go to the smaller id; zero vectors score 0.
+    Up to ``QUERY_BLOCK`` queries are broadcast to the points, which are read
+    once and not shuffled. More queries and the points are dealt into blocks
+    that meet pairwise, in one plan of constant size. Either way a block keeps
+    its own k best per query, so that only those are ranked over all. Ties go
+    to the smaller id; zero vectors score 0.
     """
-    kept = points if where is None else points.where(where)
-    spark, blocks = points.sparkSession, max(1, -(-queries.count() // QUERY_BLOCK))
-    found = None
-    for b in range(blocks):
-        rows = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).select("query_id", "dense").collect()  # one block
-        if not rows and blocks > 1:
-            continue
-        held = spark.sparkContext.broadcast(([r.query_id for r in rows], np.array([r.dense for r in rows], dtype=np.float64)))
-
-        def each(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            names, asked = held.value
-            if not names:
-                return
-            asked = asked / np.maximum(np.linalg.norm(asked, axis=1, keepdims=True), 1e-300)
+    kept = (points if where is None else points.where(where)).select("id", "dense")
+    spark, asked = points.sparkSession, queries.select("query_id", "dense")
+    kinds = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {points.schema['id'].dataType.simpleString()}, score double"
+    blocks = -(-asked.count() // QUERY_BLOCK)
+    table = lambda column: np.stack(column.to_numpy()).astype(np.float64)
+    if blocks <= 1:
+        rows = asked.toPandas()  # one block
+        held = spark.sparkContext.broadcast((rows.query_id.to_numpy(), table(rows.dense)) if len(rows) else None)
+
+        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                if batch.empty:
-                    continue
-                table, ids = np.stack(batch.dense.to_numpy()).astype(np.float64), batch.id.to_numpy()
-                scores = asked @ (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-300)).T
-                out = []
-                for name, row in zip(names, scores, strict=True):
-                    best = np.lexsort((ids, -np.round(row, 12)))[:k]
-                    out.append(pd.DataFrame({"query_id": name, "id": ids[best], "score": row[best]}))
-                yield pd.concat(out, ignore_index=True)
-
-        kinds = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {points.schema['id'].dataType.simpleString()}, score double"
-        part = kept.select("id", "dense").mapInPandas(each, kinds)
-        found = part if found is None else found.unionByName(part)
+                if len(batch) and held.value is not None:
+                    yield _best(*held.value, batch.id.to_numpy(), table(batch.dense), k)
+
+        found = kept.mapInPandas(each, kinds)
+    else:
+        parts = max(1, -(-kept.count() // POINT_BLOCK))
+
+        def meet(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            if left.empty or right.empty:
+                return pd.DataFrame({"query_id": [], "id": [], "score": []})
+            return _best(right.query_id.to_numpy(), table(right.dense), left.id.to_numpy(), table(left.dense), k)
+
+        dealt = lambda ident, own, n, other, m: [
+            F.pmod(F.xxhash64(ident), F.lit(n)).alias(own), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))).alias(other)
+        ]
+        left = kept.select("id", "dense", *dealt("id", "p", parts, "q", blocks)).groupBy("p", "q")
+        right = asked.select("query_id", "dense", *dealt("query_id", "q", blocks, "p", parts)).groupBy("p", "q")
+        found = left.cogroup(right).applyInPandas(meet, kinds)
     best = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 12)), "id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 

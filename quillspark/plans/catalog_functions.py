@@ -182,22 +182,20 @@ def fn19(spark: SparkSession, folder: str) -> DataFrame:
     return views.table(spark, folder, "documents").select("doc_id", dense.alias("dense"))
 
 
-@query("fn20_token_index", "SELECT doc_id, (('0x' || substr(sha256(split_part(text, ' ', 1)), 1, 8))::BIGINT % 100000)::INTEGER AS idx FROM documents")
-def fn20(spark: SparkSession, folder: str) -> DataFrame:
-    return views.table(spark, folder, "documents").select("doc_id", text.token_index(F.split_part("text", F.lit(" "), F.lit(1))).alias("idx"))
+_WORD_INDEX = """SELECT doc_id, (('0x' || substr(sha256(w), 1, 8))::BIGINT % 100000)::INTEGER AS idx
+    FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents)"""
 
 
-@query(
-    "fn20_token_index_whole",
-    """SELECT doc_id, (('0x' || substr(sha256(w), 1, 8))::BIGINT % 100000)::INTEGER AS idx
-    FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents)""",
-)
-def fn20_whole(spark: SparkSession, folder: str) -> DataFrame:
+@query("fn20_token_index", _WORD_INDEX)
+def fn20(spark: SparkSession, folder: str) -> DataFrame:
     """The index of every word of each text."""
     words = views.table(spark, folder, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("w"))
     return words.select("doc_id", text.token_index(F.col("w")).alias("idx"))
 
 
+query("fn20_token_index_whole", _WORD_INDEX)(fn20)
+
+
 @query(
     "fn21_pdf_headings",
     f"""WITH {LINES} SELECT attachment_id, line_no, len(text) <= 80 AND len(regexp_split_to_array(text, '\\s+')) <= 12
@@ -413,11 +411,16 @@ def src04(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("src07_csv_cells")
+@query(
+    "src07_csv_cells",
+    "SELECT l_orderkey::VARCHAR AS order_key, l_linenumber::VARCHAR AS line_number, l_returnflag AS flag, '007' AS code, 4 AS width FROM lineitem",
+)
 def src07(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items written as CSV files by Spark and read back as cells."""
+    """Line items written as CSV files by Spark and read back as cells, without the header row of each file."""
     from quillspark.sources.store import shared_path
 
     path = shared_path(spark, "csv")
     views.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.lit("007").alias("code")).write.csv(path, header=True)
-    return sources.read_csv_cells(spark, path).groupBy(F.get("cells", 2).alias("flag"), F.get("cells", 3).alias("code")).agg(F.count("*").alias("n_rows"))
+    cells = sources.read_csv_cells(spark, path).where("row_no > 0")
+    names = ("order_key", "line_number", "flag", "code")
+    return cells.select(*(F.get("cells", k).alias(name) for k, name in enumerate(names)), F.size("cells").alias("width"))

@@ -41,7 +41,7 @@ LINES = """lines_v AS (
     FROM (SELECT doc_id, string_split(text, chr(10)) AS parts, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents))
   WHERE trim(raw) <> '')"""
 CELLS = """cells_v AS (
-  SELECT (l_orderkey % 20)::VARCHAR AS attachment_id, 'items' AS sheet_name, l_orderkey * 8 + l_linenumber AS row_no,
+  SELECT (l_orderkey // 500)::VARCHAR AS attachment_id, 'items' AS sheet_name, l_orderkey * 8 + l_linenumber AS row_no,
     [l_orderkey::VARCHAR, l_linenumber::VARCHAR, l_quantity::VARCHAR, l_extendedprice::VARCHAR, l_shipdate::VARCHAR, l_returnflag] AS cells
   FROM lineitem)"""
 PROGRESS = """progress_v AS (

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``; a local folder is made only where that is unset (tests)."""
+    """A new path under ``spark.checkpoint.dir``, the folder that all executors and the driver share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-quill-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="spark-quill-")  # one process: the folder is shared
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/jobs-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
