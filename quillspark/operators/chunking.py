@@ -108,7 +108,7 @@ def sections(text: str, level: int) -> tuple[str, list[tuple[str, str]]]:
 
 
 def _said(header: str, body: str) -> str:
-    return f"{header}\n{body}".strip() if body else header
+    return "\n".join(filter(None, (header, body))).strip() if body else header
 
 
 def _by_level(text: str, levels: tuple[int, ...], atomic: bool, least: int = 1, everywhere: bool = False) -> list[Draft]:
@@ -160,10 +160,11 @@ def split_faq(text: str) -> list[Draft]:
     at = [k for k, line in enumerate(lines) if line.strip().endswith("?")]
     if len(at) < 2:
         return [Draft(text, _first_heading(text, "FAQ"), True)]
-    return [
-        Draft("\n".join(lines[a:b]).strip(), lines[a].strip().lstrip("#").strip() or "FAQ", True)
-        for a, b in zip(at, [*at[1:], len(lines)], strict=True)
-    ]
+    drafts = []
+    for start, end in zip(at, [*at[1:], len(lines)], strict=True):
+        question = re.sub(r"^\s*#*\s*|\s+$", "", lines[start])
+        drafts.append(Draft("\n".join(lines[start:end]).strip(), question or "FAQ", True))
+    return drafts
 
 
 def split_meeting(text: str) -> list[Draft]:
@@ -199,6 +200,16 @@ def drafts_column(body: Column, kind: Column, *, is_html: bool = True, size_rule
     return F.pandas_udf(each, DRAFTS)(body, kind)
 
 
+def sections_column(text: Column, level: int) -> Column:
+    """``sections`` over a column: what stands before the first heading of a level, and each heading with its body."""
+
+    def each(texts: pd.Series) -> pd.DataFrame:
+        cut = (sections(x or "", level) for x in texts)
+        return pd.DataFrame([{"before": a, "sections": [{"header": h, "body": b} for h, b in found]} for a, found in cut], columns=["before", "sections"])
+
+    return F.pandas_udf(each, "before string, sections array<struct<header: string, body: string>>")(text)
+
+
 def windows_column(text: Column, limit: int = MAX_TOKENS, overlap: int = OVERLAP_TOKENS) -> Column:
     def each(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: windows(x or "", limit, overlap))

@@ -558,8 +558,74 @@ def _drafts_query(kind: str):
     return run
 
 
+#: Lines of structured pages as they read once their markup is gone: ``lvl`` of headings, ``r`` the line itself.
+_READ = f"""{PAGES}, read_v AS (
+  SELECT page_id, k, x, lvl, CASE WHEN lvl > 0 THEN repeat('#', lvl) || ' ' || x WHEN k % 11 = 0 THEN x || '?' ELSE x END AS r FROM (
+    SELECT page_id, i AS k, trim(parts[i + 1]) AS x, CASE WHEN i % 5 = 0 THEN 2 WHEN i % 7 = 0 THEN 3 ELSE 0 END AS lvl FROM (
+      SELECT page_id, string_split(body_html, chr(10)) AS parts, unnest(range(len(string_split(body_html, chr(10))))) AS i FROM pages_v)))"""
+
+
+def _cut(name: str, mark: str) -> str:
+    """Sections of ``read_v`` that lines with the mark open: their number, heading, body, and what stands before the first."""
+    return f"""{name}_n AS (SELECT *, min(k) OVER (PARTITION BY page_id, s) AS m FROM (
+      SELECT *, sum(({mark})::INTEGER) OVER (PARTITION BY page_id ORDER BY k) AS s FROM read_v)),
+    {name}_b AS (SELECT page_id, string_agg(CASE WHEN lvl > 0 AND k > 0 THEN chr(10) ELSE '' END || r, chr(10) ORDER BY k) AS before FROM {name}_n WHERE s = 0 GROUP BY 1),
+    {name} AS (
+      SELECT page_id, s, any_value(x) FILTER (WHERE k = m) AS head, any_value(r) FILTER (WHERE k = m) AS line,
+        string_agg(CASE WHEN lvl > 0 AND k > m + 1 THEN chr(10) ELSE '' END || r, chr(10) ORDER BY k) FILTER (WHERE k > m) AS body,
+        string_agg(CASE WHEN lvl > 0 AND k > m THEN chr(10) ELSE '' END || r, chr(10) ORDER BY k) AS whole, max(s) OVER (PARTITION BY page_id) AS many
+      FROM {name}_n WHERE s > 0 GROUP BY page_id, s)"""
+
+
+_DRAFT = "page_id, (row_number() OVER (PARTITION BY page_id ORDER BY s) - 1)::INTEGER AS chunk_index"
+_SAID = "CASE WHEN s = 1 AND before IS NOT NULL THEN before || chr(10) || chr(10) ELSE '' END || head || coalesce(chr(10) || body, '')"
+_TWO, _THREE = _cut("two", "lvl = 2"), _cut("three", "lvl = 3")
+_BY_TWO = f"SELECT {_DRAFT}, head AS section_header, {{atomic}} AS is_atomic, md5({_SAID}) AS text_md5 FROM two LEFT JOIN two_b USING (page_id)"
+_BY_THREE = f"SELECT {_DRAFT}, head AS section_header, true AS is_atomic, md5({_SAID}) AS text_md5 FROM three LEFT JOIN three_b USING (page_id) WHERE many >= 2"
+_PLAIN = "SELECT page_id, 0 AS chunk_index, arg_min(x, k) AS section_header, true AS is_atomic, md5(string_agg(CASE WHEN lvl > 0 AND k > 0 THEN chr(10) ELSE '' END || r, chr(10) ORDER BY k)) AS text_md5 FROM read_v {where} GROUP BY page_id"
+_FEW = "page_id NOT IN (SELECT page_id FROM three WHERE many >= 2)"
+_SPLIT_SQL = {
+    "operation": f"WITH {_READ}, {_TWO} {_BY_TWO.format(atomic='false')}",
+    "incident": f"WITH {_READ}, {_TWO} {_BY_TWO.format(atomic='true')}",
+    "troubleshoot": f"WITH {_READ}, {_TWO}, {_THREE} {_BY_THREE} UNION ALL {_BY_TWO.format(atomic='true')} WHERE {_FEW}",
+    "adr": f"WITH {_READ} {_PLAIN.format(where='')}",
+    "faq": f"""WITH {_READ}, {_THREE}, {_cut("asked", "r LIKE '%?'")} {_BY_THREE}
+      UNION ALL SELECT {_DRAFT}, CASE WHEN line LIKE '#%' THEN head ELSE line END AS section_header, true AS is_atomic, md5(whole) AS text_md5 FROM asked WHERE many >= 2 AND {_FEW}
+      UNION ALL {_PLAIN.format(where=f"WHERE {_FEW} AND page_id NOT IN (SELECT page_id FROM asked WHERE many >= 2)")}""",
+    "meeting": f"WITH {_READ}, {_TWO} {_BY_TWO.format(atomic='true')}",
+}
+
+@query(
+    "chk01_sections",
+    f"""WITH {_READ}, {_TWO}, {_THREE}
+    SELECT page_id, 2 AS level, (s - 1)::INTEGER AS place, head AS header, md5(coalesce(body, '')) AS body_md5, md5(coalesce(before, '')) AS before_md5 FROM two LEFT JOIN two_b USING (page_id)
+    UNION ALL SELECT page_id, 3, (s - 1)::INTEGER, head, md5(coalesce(body, '')), md5(coalesce(before, '')) FROM three LEFT JOIN three_b USING (page_id)""",
+)
+def chk01(spark: SparkSession, folder: str) -> DataFrame:
+    """Sections of structured pages at both levels of their headings."""
+    from quillspark.functions.html import clean_html
+
+    pages = store.stage(views.structured_pages(spark, folder).select("page_id", clean_html(F.col("body_html")).alias("text")), "read")
+    digest = lambda c: F.md5(F.col(c).cast("binary"))
+    cut = None
+    for level in (2, 3):
+        found = pages.select("page_id", chunking.sections_column(F.col("text"), level).alias("c"))
+        found = found.select("page_id", F.lit(level).alias("level"), F.col("c.before").alias("before"), F.posexplode("c.sections").alias("place", "part"))
+        cut = found if cut is None else cut.unionByName(found)
+    return cut.select("page_id", "level", "place", "part.header", digest("part.body").alias("body_md5"), digest("before").alias("before_md5"))
+
+
+@query("win03_part_labels")
+def win03(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents as atomic drafts: parts in order, with the number of each and of all in its header."""
+    drafts = chunking.drafts_column(F.col("body_html"), F.lit("incident"), is_html=False)
+    rows = views.pages(spark, folder).select("page_id", F.posexplode(drafts).alias("place", "d"))
+    label = F.regexp_extract("d.section_header", r" \(Part (\d+)/(\d+)\)$", 1).alias("part"), F.regexp_extract("d.section_header", r" \(Part (\d+)/(\d+)\)$", 2).alias("parts")
+    return rows.select("page_id", "place", *label)
+
+
 for _number, _kind in enumerate(("operation", "incident", "troubleshoot", "adr", "faq", "meeting"), 2):
-    query(f"chk{_number:02d}_split_{_kind}")(_drafts_query(_kind))
+    query(f"chk{_number:02d}_split_{_kind}", _SPLIT_SQL[_kind])(_drafts_query(_kind))
 
 
 @query("chk08_windows")
