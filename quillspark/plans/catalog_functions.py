@@ -217,6 +217,21 @@ def fn22(spark: SparkSession, folder: str) -> DataFrame:
     return views.cells(spark, folder).select("attachment_id", "row_no", text.serialize_row(F.col("sheet_name"), names, spaced).alias("text"))
 
 
+@query(
+    "fn22_cell_to_string",
+    """SELECT l_orderkey, l_linenumber, l_quantity::BIGINT::VARCHAR AS whole, CASE WHEN l_extendedprice = floor(l_extendedprice) THEN l_extendedprice::BIGINT::VARCHAR
+      ELSE printf('%g', l_extendedprice) END AS price, printf('%g', -l_extendedprice / 7e9) AS tiny, printf('%g', l_extendedprice * 1e7 + 0.5) AS large,
+      strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS day, '' AS none FROM lineitem""",
+)
+def fn22_typed(spark: SparkSession, folder: str) -> DataFrame:
+    price = F.col("l_extendedprice").cast("double")
+    as_text = lambda x, kind, name: text.cell_to_string(x, kind).alias(name)
+    return views.table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", as_text(F.col("l_quantity").cast("double"), "double", "whole"), as_text(price, "double", "price"), as_text(-price / 7e9, "double", "tiny"),
+        as_text(price * 1e7 + 0.5, "double", "large"), as_text(F.col("l_shipdate"), "timestamp", "day"), as_text(F.lit(None).cast("double"), "double", "none"),
+    )
+
+
 @query("fn25_sample_text", f"WITH {PAGES} SELECT page_id, md5(title || chr(10) || array_to_string(labels, ', ') || chr(10) || substr(body_html, 1, 2000)) AS sample FROM pages_v")
 def fn25(spark: SparkSession, folder: str) -> DataFrame:
     sample = text.sample_text(F.col("title"), F.col("labels"), F.col("body_html"))
