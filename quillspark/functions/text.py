@@ -166,20 +166,6 @@ def is_pdf_heading(text: Column, size: Column, bold: Column, body_size: Column)
     return F.coalesce((body_size > 0) & short & large, F.lit(False))
 
 
-def _short(x: Column) -> Column:
-    """A number with six significant digits, without zeros at its end, in powers of ten where it is very small or large."""
-    plain = F.format_string("%.5e", F.abs(x))
-    digits = F.concat(F.substring(plain, 1, 1), F.substring(plain, 3, 5))
-    power = F.regexp_extract(plain, "e(.*)$", 1)
-    at = power.try_cast("int")
-    bare = lambda text: F.regexp_replace(F.regexp_replace(text, r"0+$", ""), r"\.$", "")
-    large = F.concat(F.substr(digits, F.lit(1), at + 1), F.lit("."), F.substr(digits, at + 2))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -at - 1), digits)
-    fixed = bare(F.when(at >= 0, large).otherwise(small))
-    scaled = F.concat(bare(F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, 2, 5))), F.lit("e"), power)
-    return F.concat(F.when(x < 0, "-").otherwise(""), F.when(at.between(-4, 5), fixed).otherwise(scaled))
-
-
 def cell_to_string(value: Column, kind: str) -> Column:
     """A typed cell as text; ``kind`` is the name of its Spark type.
 
@@ -187,9 +173,11 @@ def cell_to_string(value: Column, kind: str) -> Column:
     digits; times are in ISO form; other values are trimmed; null is empty.
     """
     if kind in ("double", "float"):
-        x = value.cast("double")
-        odd = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf")
-        text = F.when(x.isNull(), "").when(odd.isNotNull(), odd).when(x == F.rint(x), F.format_string("%.0f", x + 0.0)).otherwise(_short(x))
+        # Rounding to digits must see the number's exact binary value, which the built-in formats do not.
+        def each(numbers: pd.Series) -> pd.Series:
+            return pd.Series([f"{x + 0.0:.0f}" if x == x // 1 else f"{x:g}" for x in numbers.astype(float).tolist()])
+
+        text = F.when(value.isNull(), "").otherwise(F.pandas_udf(each, "string")(value.cast("double")))
     elif kind.startswith("timestamp"):
         micros = F.date_format(value, "SSSSSS")
         text = F.concat(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss"), F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(""))
