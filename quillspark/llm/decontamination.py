@@ -20,7 +20,7 @@ SLICE_ITEMS, SLICE_SIZES, SLICE_CHARS = 4_000, 64, 32_000_000
 #: Items that share the words of one set of block tables.
 _GROUP = 64
 #: Windows fingerprinted at once, looked up at once, and words searched at once; only memory depends on them.
-_STEP, _BATCH, _PIECE = 2048, 32_768, 1 << 20
+_STEP, _BATCH, _PIECE = 2048, 32_768, 1 << 18
 _FILTER_BITS = 1 << 20
 #: All values of a block, nearest to zero first, so that ``value ^ _NEAR[:k]`` is a ball around a value.
 _NEAR = np.argsort(np.bitwise_count(np.arange(1 << (BITS // BLOCKS), dtype=np.uint32)), kind="stable")

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from quillspark.llm.toxicity import LabelModel, drop_toxic, score_toxicity
+from quillspark.llm.toxicity import LabelModel, drop_toxic, fit_classifier, score_of, score_toxicity
 
 
 def test_held_out_accuracy(spark):
@@ -47,3 +47,63 @@ def test_defined_cases(spark):
     assert scores[1] > 0.7 > scores[4]
     kept = drop_toxic(docs, none)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {2, 3, 4, None}
+
+
+def plain_posterior(model, row, label):
+    """Product of the model's chances for both labels, term by term."""
+    mass = []
+    for y in (0, 1):
+        p = model.prior if y else 1 - model.prior
+        for j, fires in enumerate(row):
+            parent = model.parent[j]
+            chance = model.chance[j][y][row[parent] if parent >= 0 else 0]
+            p *= chance if fires else 1 - chance
+        if label >= 0:
+            p *= model.given[y] if label == 1 else 1 - model.given[y]
+        mass.append(p)
+    return mass[1] / sum(mass)
+
+
+def test_posterior_against_plain_products():
+    draw = np.random.default_rng(4)
+    votes, given, count = draw.integers(0, 2, (300, 6)), draw.integers(-1, 2, 300), draw.integers(1, 50, 300).astype(float)
+    model = LabelModel().fit(votes, given, count)
+    want = [plain_posterior(model, row, label) for row, label in zip(votes.tolist(), given.tolist(), strict=True)]
+    assert np.allclose(model.posterior(votes, given), want, atol=1e-9)
+    # Counted patterns are the same as their rows one by one.
+    rows = np.repeat(np.arange(300), count.astype(int))
+    single = LabelModel().fit(votes[rows], given[rows], np.ones(len(rows)))
+    assert np.allclose(single.posterior(votes, given), model.posterior(votes, given), atol=1e-6) and single.parent == model.parent
+
+
+def test_classifier_against_plain_gradient_steps():
+    draw = np.random.default_rng(5)
+    rows = [(sorted(draw.choice(12, draw.integers(0, 6), replace=False).tolist()), float(draw.random())) for _ in range(200)]
+    table = np.zeros((200, 13))
+    for k, (columns, _) in enumerate(rows):
+        table[k, columns] = 1 / np.sqrt(max(len(columns), 1))
+    table[:, 12] = 1
+    target, weights = np.array([y for _, y in rows]), np.zeros(13)
+    for _ in range(20_000):
+        slope = table.T @ (1 / (1 + np.exp(-table @ weights)) - target) / 200
+        slope[:12] += 3e-4 * weights[:12]
+        weights -= 2.0 * slope
+    found = fit_classifier(rows, 12)
+    assert np.allclose(1 / (1 + np.exp(-table @ found)), 1 / (1 + np.exp(-table @ weights)), atol=0.02)
+    assert all(abs(score_of(columns, found) - 1 / (1 + np.exp(-table[k] @ found))) < 1e-9 for k, (columns, _) in enumerate(rows))
+
+
+def test_several_texts_of_one_id_teach_once(spark):
+    docs = spark.createDataFrame([(2, f"text number {k} is clean") for k in range(40)] + [(3, "you scum trash idiot")], "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 0), (3, 1)], "doc_id long, toxic int")
+    assert score_toxicity(docs, labels, fit_rows=2).count() == 41
+
+
+def test_stage_on_held_out_labels(spark):
+    """Of the labels that nothing was learned from, the stage drops what is toxic and keeps what is clean."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    kept = {r.doc_id for r in drop_toxic(docs, labels).select("doc_id").collect()}
+    rows = [r for r in labels.join(docs.select("doc_id"), "doc_id", "left_semi").collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    toxic, clean = [r.doc_id not in kept for r in rows if r.toxic == 1], [r.doc_id in kept for r in rows if r.toxic == 0]
+    assert len(toxic) > 20 and np.mean(toxic) >= 0.8 and np.mean(clean) >= 0.98
