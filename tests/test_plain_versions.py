@@ -236,3 +236,15 @@ def test_embedded_pools(spark, folder, bodies):
             label = " ".join(filter(None, [" ".join(r.labels), r.space_key, kind]))
             want[ident] = {"title": (16, terms(f"{r.title} {header}")), "content": (16, terms(text)), "label": (16, terms(label))}
     assert got == want
+
+
+def test_tokens_by_space(spark, folder):
+    kinds = {"장애대응": "incident", "troubleshooting": "troubleshoot", "faq": "faq", "회의록": "meeting", "adr": "adr"}
+    want = {}
+    for r in views.pages(spark, folder).where("size(allowed_groups) > 0").collect():
+        kind = kinds[r.labels[0]] if r.labels else "operation"
+        for text, _, _ in by_size([tuple(d) for d in chunking.body_drafts(r.body_html, kind, is_html=False)]):
+            chunks, total = want.get((r.space_key, kind), (0, 0))
+            want[r.space_key, kind] = (chunks + 1, total + tokens(text))
+    got = {(r.space_key, r.doc_type): (r.chunks, r.tokens) for r in QUERIES["flagship_tokens_by_space"](spark, folder).collect()}
+    assert got == want
