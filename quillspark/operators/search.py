@@ -66,8 +66,10 @@ def dense_search(points: DataFrame, queries: DataFrame, *, k: int = 20, where: C
         dealt = lambda ident, own, n, other, m: [
             F.pmod(F.xxhash64(ident), F.lit(n)).alias(own), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))).alias(other)
         ]
-        left = kept.select("id", "dense", *dealt("id", "p", parts, "q", blocks)).groupBy("p", "q")
-        right = asked.select("query_id", "dense", *dealt("query_id", "q", blocks, "p", parts)).groupBy("p", "q")
+        left = kept.select("id", "dense", *dealt("id", "p", parts, "q", blocks))
+        right = asked.select("query_id", "dense", *dealt("query_id", "q", blocks, "p", parts))
+        # Columns of their own on either side, as both may come from one table.
+        left, right = (x.select([F.col(c).alias(c) for c in x.columns]).groupBy("p", "q") for x in (left, right))
         found = left.cogroup(right).applyInPandas(meet, kinds)
     best = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 12)), "id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
