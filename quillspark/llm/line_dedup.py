@@ -97,32 +97,52 @@ class Keys:
 
     def __init__(self, limit: int, least: int):
         self.limit, self.least = limit, least
-        self.plans: dict[int, list[tuple[int, int, int, bool]]] = {}
+        self.plans: dict[int, tuple[list, list]] = {}
 
-    def of(self, line: str) -> list[tuple[int, bool]]:
-        """(64-bit key, whether it is an index key) for a line; lines shorter than ``least`` have none."""
-        size = len(line)
-        if size < self.least:
-            return []
+    def _plan(self, size: int) -> tuple[list[tuple[int, int, int]], list[bool]]:
+        """(seed, first byte, last byte) of each key of a line of that length, and whether it is an index key."""
         if (plan := self.plans.get(size)) is None:
-            plan = [((size << 8) | i, at, n, True) for i, (at, n) in enumerate(segments(size, self.limit))]
+            cuts = [((size << 8) | i, at, n, True) for i, (at, n) in enumerate(segments(size, self.limit))]
             for indexed in range(max(size - self.limit, self.least), size + 1):
-                plan += [((indexed << 8) | i, at, n, False) for i, at, n in probes(size, indexed, self.limit)]
+                cuts += [((indexed << 8) | i, at, n, False) for i, at, n in probes(size, indexed, self.limit)]
             if len(self.plans) > 20_000:
                 self.plans.clear()
-            self.plans[size] = plan
-        digest = xxhash.xxh3_64_intdigest
-        return [(digest(line[at : at + n].encode("utf-8", "surrogatepass"), seed=seed) - 2**63, index) for seed, at, n, index in plan]
+            plan = self.plans[size] = [(seed, 4 * at, 4 * (at + n)) for seed, at, n, _ in cuts], [x[3] for x in cuts]
+        return plan
+
+    def digests(self, line: str) -> tuple[list[bytes], list[bool]]:
+        """Eight bytes for each key of a line, and whether it is an index key; lines shorter than ``least`` have none."""
+        if len(line) < self.least:
+            return [], []
+        plan, indexed = self._plan(len(line))
+        letters = line.encode("utf-32-le", "surrogatepass")  # four bytes each, so that a substring is a slice
+        return [xxhash.xxh3_64_digest(letters[a:b], seed=seed) for seed, a, b in plan], indexed
+
+    def of(self, line: str) -> list[tuple[int, bool]]:
+        """(64-bit key, whether it is an index key) for a line."""
+        found, indexed = self.digests(line)
+        return list(zip(np.frombuffer(b"".join(found), dtype=np.int64).tolist(), indexed, strict=True))
+
+
+#: What makes a text differ from its lines with white space made single: spaces that are not alone, and any other white space.
+_UNEVEN = ("  ", " \n", "\n ", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
+_WIDE = (*"\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B)))
 
 
 def lines_of(text: str | None) -> list[str]:
     """Lines of a whole text, white space made single and trimmed; blank lines stay as empty strings."""
-    return [" ".join(x.split()) for x in text.split("\n")] if text else []
+    if not text:
+        return []
+    lines = text.split("\n")
+    if text[0] == " " or text[-1] == " " or any(x in text for x in _UNEVEN) or not text.isascii() and any(x in text for x in _WIDE):
+        return [" ".join(x.split()) for x in lines]
+    return lines
 
 
-def _hash(line: str) -> tuple[int, int]:
-    whole = xxhash.xxh3_128_intdigest(line.encode("utf-8", "surrogatepass"))
-    return (whole >> 64) - 2**63, (whole & (2**64 - 1)) - 2**63
+def _hashes(lines: list[str]) -> np.ndarray:
+    """Two 64-bit numbers for each line, which tell it from all others."""
+    found = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines]
+    return np.frombuffer(b"".join(found), dtype=np.int64).reshape(-1, 2)
 
 
 def _occurrences(texts: DataFrame) -> DataFrame:
@@ -130,17 +150,16 @@ def _occurrences(texts: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places, hashes = [], [], []
+            rows, places, lines = [], [], []
             for row, text in enumerate(batch.column("text")):
                 for k, line in enumerate(lines_of(text.as_py())):
                     if line:
                         rows.append(row)
                         places.append(k)
-                        hashes.append(_hash(line))
-            rows = pa.array(rows, pa.int64())
-            first, second = zip(*hashes, strict=True) if hashes else ((), ())
+                        lines.append(line)
+            rows, hashes = pa.array(rows, pa.int64()), _hashes(lines)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(rows), batch.column("t").take(rows), pa.array(places, pa.int32()), pa.array(first, pa.int64()), pa.array(second, pa.int64())],
+                [batch.column("id").take(rows), batch.column("t").take(rows), pa.array(places, pa.int32()), pa.array(hashes[:, 0]), pa.array(hashes[:, 1])],
                 ["id", "t", "line_no", "h", "h2"],
             )
 
@@ -153,19 +172,16 @@ def _keys(texts: DataFrame, limit: int, least: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Keys(limit, least)
         for batch in batches:
-            keys, hashes, indexed, done = [], [], [], set()
-            for text in batch.column("text"):
-                for line in lines_of(text.as_py()):
-                    if len(line) >= least and line not in done:
-                        done.add(line)
-                        h = _hash(line)[0]
-                        for key, index in maker.of(line):
-                            keys.append(key)
-                            hashes.append(h)
-                            indexed.append(index)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(hashes, pa.int64()), pa.array(indexed, pa.bool_())], ["key", "h", "index"]
-            )
+            found = list({x: None for text in batch.column("text") for x in lines_of(text.as_py()) if len(x) >= least})
+            keys, indexed, counts = [], [], []
+            for line in found:
+                made, kinds = maker.digests(line)
+                keys += made
+                indexed += kinds
+                counts.append(len(made))
+            hashes = np.repeat(_hashes(found)[:, 0], counts)
+            keys = np.frombuffer(b"".join(keys), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(hashes), pa.array(indexed, pa.bool_())], ["key", "h", "index"])
 
     return texts.mapInArrow(each, "key long, h long, index boolean")
 
@@ -175,7 +191,7 @@ def _texts_of(texts: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             found = {x for text in batch.column("text") for x in lines_of(text.as_py()) if len(x) >= least}
             found = sorted(found)
-            yield pa.RecordBatch.from_arrays([pa.array([_hash(x)[0] for x in found], pa.int64()), pa.array(found, pa.string())], ["h", "line"])
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(found)[:, 0]), pa.array(found, pa.string())], ["h", "line"])
 
     return texts.mapInArrow(each, "h long, line string")
 
@@ -219,19 +235,18 @@ def window_minima(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _minima(texts: DataFrame, least: int) -> DataFrame:
     """(key, h) of every line of at least that many characters."""
 
-    def keyed(found: list[tuple[str, int]]) -> pa.RecordBatch:
-        owner, keys = window_minima([x for x, _ in found])
-        hashes = np.array([h for _, h in found], dtype=np.int64)[owner]
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(hashes)], ["key", "h"])
+    def keyed(found: list[str]) -> pa.RecordBatch:
+        owner, keys = window_minima(found)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(_hashes(found)[owner, 0])], ["key", "h"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, held, done = [], 0, set()
             for text in batch.column("text"):
                 for line in lines_of(text.as_py()):
-                    if len(line) >= least and (h := _hash(line)[0]) not in done:
-                        done.add(h)
-                        found.append((line, h))
+                    if len(line) >= least and line not in done:
+                        done.add(line)
+                        found.append(line)
                         held += len(line)
                 if held > _LETTERS:
                     yield keyed(found)

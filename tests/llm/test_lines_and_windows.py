@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillspark.llm.decontamination import HammingIndex, benchmark_hits, decontaminate, fingerprint, window_marks
-from quillspark.llm.line_dedup import Keys, drop_lines, duplicate_lines, within_edits
+from quillspark.llm.line_dedup import Keys, drop_lines, duplicate_lines, lines_of, within_edits
 
 
 def distance(a, b):
@@ -76,6 +76,12 @@ def test_lines_against_brute_force(spark):
     assert texts[0] == "\n".join(x for n, x in enumerate(rows[0][1].split("\n")) if n not in got[0])
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text("ab \n\t\r\x1c\x85\xa0\u2003\u3000é日", max_size=12))
+def test_lines_with_single_white_space(text):
+    assert lines_of(text) == ([" ".join(x.split()) for x in text.split("\n")] if text else [])
+
+
 def test_line_cases(spark):
     rows = [(1, None), (2, ""), (3, "same line of some length\n" * 3), (3, "same line of some length\n" * 3), (None, "same line of some length"), (4, "y" * 200_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
