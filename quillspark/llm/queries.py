@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quillspark.llm.decontamination import benchmark_hits
 from quillspark.llm.html_blocks import extract_main_text
 from quillspark.llm.line_dedup import duplicate_lines
+from quillspark.llm.merkle import fold, leaf_digest, merkle_manifest, proof_digest
 from quillspark.llm.mixing import mix_sources
 from quillspark.llm.near_dup import near_duplicates
 from quillspark.llm.nearest import nearest_neighbours
@@ -92,6 +93,20 @@ def op10_poisson_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", F.coalesce("n_chars", F.length("text")).alias("n_chars"), "copy", "shuffle_key")
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest, roots and proof of all documents; where 7 divides the id's CRC-32 the checked row has one character more."""
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    touched = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    count = F.when(touched, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    checked = leaf_digest(*(count if c == "n_chars" else F.col(c) for c in names))
+    found = merkle_manifest(_read(spark, folder, "documents"), names, keep={"checked": checked})
+    found = found.withColumn("folded_root", fold(F.col("checked"), F.col("proof")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
@@ -105,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_separator_token_counts": op8_separator_token_counts,
         "op9_simhash_decontamination": op9_simhash_decontamination,
         "op10_poisson_mixture": op10_poisson_mixture,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }
 
 
@@ -259,7 +275,53 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common DESC, st
 """
 
 
+_OP11 = """
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+    b::BIGINT) ORDER BY b) AS t FROM range(256) r(b)),
+ids AS (
+  SELECT doc_id, xor(list_reduce(list_transform(range(1, len(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 7 = 0 AS touched
+  FROM (SELECT DISTINCT doc_id, hex(encode(doc_id::VARCHAR)) AS h FROM documents), steps),
+d AS (SELECT d.*, n_chars + CASE WHEN touched THEN 1 ELSE 0 END AS more FROM documents d LEFT JOIN ids USING (doc_id)),
+parts AS (
+  SELECT doc_id, lang, coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-')
+      || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+    coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') AS was, coalesce(length(more::VARCHAR) || ':' || more, '-') AS now,
+    coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail FROM d),
+leaves AS (
+  SELECT doc_id, lang, leaf, checked, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM (SELECT doc_id, lang, sha256(head || was || tail) AS leaf, sha256(head || now || tail) AS checked FROM parts)),
+up AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS hs FROM leaves GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, len(hs), 2), lambda i: sha256(array_to_string(hs[i + 1:i + 2], ''))) FROM up WHERE len(hs) > 1),
+subroots AS (
+  SELECT lang, hs[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM up WHERE len(hs) = 1),
+top AS (
+  SELECT 0 AS level, list(subroot ORDER BY pos) AS hs FROM subroots HAVING count(*) > 0
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(hs), 2), lambda i: sha256(array_to_string(hs[i + 1:i + 2], ''))) FROM top WHERE len(hs) > 1),
+chains AS (SELECT lang, list(hs ORDER BY level) AS trees FROM (SELECT * FROM up WHERE len(hs) > 1) GROUP BY lang),
+crown AS (SELECT coalesce(list(hs ORDER BY level), []) AS trees FROM top WHERE len(hs) > 1),
+heads AS (SELECT lang, subroot, list_transform(range(len(trees)), lambda k: [CASE WHEN (pos >> k) & 1 = 1 THEN 'l' ELSE 'r' END,
+  coalesce(trees[k + 1][xor(pos >> k, 1) + 1], '')]) AS proof FROM subroots, crown),
+proofs AS (
+  SELECT l.*, h.subroot, list_concat(list_transform(range(coalesce(len(c.trees), 0)), lambda k: [CASE WHEN (l.pos >> k) & 1 = 1 THEN 'l' ELSE 'r' END,
+    coalesce(c.trees[k + 1][xor(l.pos >> k, 1) + 1], '')]), h.proof) AS proof
+  FROM leaves l JOIN heads h ON h.lang IS NOT DISTINCT FROM l.lang LEFT JOIN chains c ON c.lang IS NOT DISTINCT FROM l.lang),
+folded AS (
+  SELECT *, list_reduce(list_concat([['', checked]], proof), lambda a, s:
+    ['', sha256(CASE WHEN s[1] = 'l' THEN s[2] || a[2] ELSE a[2] || s[2] END)])[2] AS folded_root,
+    sha256(array_to_string(list_transform(proof, lambda s: s[2]), '')) AS proof_sha256
+  FROM proofs)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM folded, (SELECT hs[1] AS root FROM top WHERE len(hs) = 1)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_near_dedup": _OP1, "op3_quotation_linking": _OP3, "op4_segment_line_dedup": _OP4, "op7_hash_tree_shards": _OP7, "op9_simhash_decontamination": _OP9, "op10_poisson_mixture": _OP10,
+        "op11_merkle_manifest": _OP11,
     }
