@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import is_small, lookup, stash, unused
+from quillspark.llm.common import is_small, lookup, stash
 from quillspark.llm.quotes import numbered
 
 #: Levels of a tree that one task builds from a block of its nodes (2 ** LEVELS of them).
@@ -163,7 +163,7 @@ def merkle_manifest(
     for nothing, whatever their names. An empty table gives an empty result.
     """
     keep = keep or {}
-    ident, *kept = unused(docs.select(), *(f"kept{k}" for k in range(len(keep) + 1)))
+    ident, *kept = (f"kept{k}" for k in range(len(keep) + 1))
     tree = F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit(""))
     leaves = docs.select(
         F.col(id_col).alias(ident), tree.alias("tree"), leaf_digest(*(F.col(c) for c in columns)).alias("digest"),
@@ -177,9 +177,10 @@ def merkle_manifest(
     heads = stash(numbered(heads, ["tree"], ["name"], "idx"), "heads")
     nodes, root, deepest = _nodes(heads.select("tree", "idx", "digest"))
     heads = _proofs(nodes, heads, deepest).select(F.col("name").alias("tree"), F.col("digest").alias("subroot"), F.col("proof").alias("more"))
-    root = F.broadcast(root.select(F.col("digest").alias("root")))  # one row, none of an empty table
-    out = lookup(leaves, stash(heads.join(root), "heads"), ["tree"])
+    top = root.first()  # one digest, none of an empty table
+    out = lookup(leaves, stash(heads, "heads"), ["tree"])
     return out.select(
-        F.col(ident).alias(id_col), F.col("digest").alias("leaf"), "subroot", "root", F.concat("proof", "more").alias("proof"),
+        F.col(ident).alias(id_col), F.col("digest").alias("leaf"), "subroot", F.lit(top.digest if top else None).cast("string").alias("root"),
+        F.concat("proof", "more").alias("proof"),
         *(F.col(c).alias(name) for c, name in zip(kept, keep, strict=True)),
     )

@@ -14,6 +14,7 @@ from quillspark.llm.merkle import fold, leaf_digest, merkle_manifest, proof_dige
 from quillspark.llm.mixing import mix_sources
 from quillspark.llm.near_dup import near_duplicates
 from quillspark.llm.nearest import nearest_neighbours
+from quillspark.llm.ngram_join import ngram_components
 from quillspark.llm.quotes import as_mail, link_quotes, reply_order
 from quillspark.llm.sharding import shard_documents
 from quillspark.llm.token_counts import count_tokens
@@ -107,6 +108,11 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents whose sets of three-word shingles are similar at 0.9 or more."""
+    return ngram_components(_read(spark, folder, "documents"), width=3, percent=90)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
@@ -121,6 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_simhash_decontamination": op9_simhash_decontamination,
         "op10_poisson_mixture": op10_poisson_mixture,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op13_ngram_jaccard_join": op13_ngram_jaccard_join,
     }
 
 
@@ -275,6 +282,12 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common DESC, st
 """
 
 
+_OP13 = (
+    _OP1.replace("len(ws) < 4", "len(ws) < 3").replace("range(1, len(ws) - 2)", "range(1, len(ws) - 1)").replace("ws[i:i + 3]", "ws[i:i + 2]")
+    .replace(">= 80 *", ">= 90 *").replace("""min(r.node) AS component_id,
+  r.root = min(r.node) AS kept""", "min(r.node) AS component_id")
+)
+
 _OP11 = """
 WITH RECURSIVE steps AS (
   SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
@@ -324,4 +337,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_near_dedup": _OP1, "op3_quotation_linking": _OP3, "op4_segment_line_dedup": _OP4, "op7_hash_tree_shards": _OP7, "op9_simhash_decontamination": _OP9, "op10_poisson_mixture": _OP10,
         "op11_merkle_manifest": _OP11,
+        "op13_ngram_jaccard_join": _OP13,
     }
