@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.llm.collocations import collocations
 from quillspark.llm.decontamination import benchmark_hits
 from quillspark.llm.html_blocks import extract_main_text
 from quillspark.llm.line_dedup import duplicate_lines
@@ -108,6 +109,11 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2,000 collocations of two and three words in each language of all documents."""
+    return collocations(_read(spark, folder, "documents"), longest=3, least=10, covered=50, top=2000)
+
+
 def op13_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of all documents whose sets of three-word shingles are similar at 0.9 or more."""
     return ngram_components(_read(spark, folder, "documents"), width=3, percent=90)
@@ -127,6 +133,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_simhash_decontamination": op9_simhash_decontamination,
         "op10_poisson_mixture": op10_poisson_mixture,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_phrase_collocations": op12_phrase_collocations,
         "op13_ngram_jaccard_join": op13_ngram_jaccard_join,
     }
 
@@ -282,6 +289,33 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common DESC, st
 """
 
 
+_OP12 = r"""
+WITH pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+f AS (
+  SELECT lang, p, count(*) AS c FROM (
+    SELECT lang, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: ws[i:i + m - 1])) AS p FROM pieces, range(1, 4) r(m))
+  GROUP BY lang, p HAVING count(*) >= 10),
+sizes AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM pieces GROUP BY lang),
+cand AS (SELECT lang, p, c AS a FROM f WHERE len(p) >= 2),
+inner_ AS (
+  SELECT lang, q, max(a) AS longer FROM (
+    SELECT lang, a, unnest([p[1:2], p[2:3]]) AS q FROM cand WHERE len(p) = 3) GROUP BY lang, q),
+kept AS (
+  SELECT cand.* FROM cand LEFT JOIN inner_ i ON i.lang = cand.lang AND i.q = cand.p WHERE coalesce(100 * i.longer < 50 * cand.a, true)),
+cuts AS (
+  SELECT k.lang, k.p, k.a, x.k, lf.c AS l, rt.c AS r, ((1000000::HUGEINT * k.a * k.a) // (lf.c::HUGEINT * rt.c))::BIGINT AS score
+  FROM kept k, range(1, 3) x(k), f lf, f rt
+  WHERE x.k < len(k.p) AND lf.lang = k.lang AND lf.p = k.p[1:x.k] AND rt.lang = k.lang AND rt.p = k.p[x.k + 1:]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+    array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM best JOIN sizes USING (lang))
+WHERE rank <= 2000
+"""
+
 _OP13 = (
     _OP1.replace("len(ws) < 4", "len(ws) < 3").replace("range(1, len(ws) - 2)", "range(1, len(ws) - 1)").replace("ws[i:i + 3]", "ws[i:i + 2]")
     .replace(">= 80 *", ">= 90 *").replace("""min(r.node) AS component_id,
@@ -337,5 +371,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_near_dedup": _OP1, "op3_quotation_linking": _OP3, "op4_segment_line_dedup": _OP4, "op7_hash_tree_shards": _OP7, "op9_simhash_decontamination": _OP9, "op10_poisson_mixture": _OP10,
         "op11_merkle_manifest": _OP11,
+        "op12_phrase_collocations": _OP12,
         "op13_ngram_jaccard_join": _OP13,
     }
