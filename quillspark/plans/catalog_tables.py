@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import chunk_id
-from quillspark.operators import access, chunking, gates, joins, layout, reports, search
+from quillspark.operators import access, chunking, gates, joins, layout, reports, search, visibility
 from quillspark.plans import indexing, views
 from quillspark.plans.registry import CELLS, EDGES, FILES, LINES, PAGES, PROGRESS, SNAPSHOTS, TOKENS, query
 from quillspark.sources import store
@@ -525,6 +525,75 @@ def top02(spark: SparkSession, folder: str) -> DataFrame:
     return search.sparse_search(store.stage(terms, "terms"), asked).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
 
 
+#: Who may see a point in ``{t}`` and what a query asks, for SQL: by group, everybody or user, and by the field if named.
+_MAY = "(list_has_any(p.groups, list_append(q.groups, '*')) OR list_contains(p.users, q.who)) AND (q.wanted IS NULL OR list_contains(q.wanted, p.field))"
+
+
+def _guarded(number: Column, field: Column) -> list[Column]:
+    """Access lists, a field and a deletion mark of points by their number."""
+    groups = F.when(number % 11 == 0, F.array(F.lit("*"))).when(number % 12 == 5, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("g"), number % 7)))
+    users = F.when(number % 6 == 1, F.array(F.concat(F.lit("u"), number % 10))).otherwise(F.array().cast("array<string>"))
+    return [groups.alias("allowed_groups"), users.alias("allowed_users"), field.cast("string").alias("field"), (number % 9 == 4).alias("is_deleted")]
+
+
+def _asking(number: Column, wanted: Column) -> list[Column]:
+    """Ten users of different groups; every third one names values of the field."""
+    user = number % 10
+    groups = F.array(F.concat(F.lit("g"), user % 7), F.concat(F.lit("g"), (user * 3 + 1) % 7))
+    filters = F.when(user % 3 == 0, F.create_map(F.lit("field"), wanted)).otherwise(F.create_map().cast("map<string,array<string>>"))
+    return [groups.alias("groups"), F.concat(F.lit("u"), user).alias("user"), filters.alias("filters")]
+
+
+_GUARDED = """CASE WHEN {n} % 11 = 0 THEN ['*'] WHEN {n} % 12 = 5 THEN []::VARCHAR[] ELSE ['g' || {n} % 7] END AS groups,
+      CASE WHEN {n} % 6 = 1 THEN ['u' || {n} % 10] ELSE []::VARCHAR[] END AS users"""
+_ASKING = """['g' || {n} % 10 % 7, 'g' || ({n} % 10 * 3 + 1) % 7] AS groups, 'u' || {n} % 10 AS who, CASE WHEN {n} % 10 % 3 = 0 THEN {wanted} END AS wanted"""
+
+
+@query(
+    "top01_guarded_dense_search",
+    f"""WITH v AS (SELECT vec_id, label::VARCHAR AS field, embedding::DOUBLE[] AS e FROM embeddings),
+    p AS (SELECT *, {_GUARDED.format(n='vec_id')} FROM v WHERE vec_id % 9 <> 4),
+    q AS (SELECT vec_id, e, {_ASKING.format(n='(vec_id // 50)', wanted="['1', '2', '3', '5', '8']")} FROM v WHERE vec_id % 50 = 0)
+    SELECT q.vec_id AS query_id, p.vec_id AS id, round(list_cosine_similarity(q.e, p.e), 6) AS score,
+      row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.e, p.e), 12) DESC, p.vec_id) AS rank
+    FROM q JOIN p ON {_MAY} QUALIFY rank <= 20""",
+)
+def top01_guarded(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten users ask with every fiftieth vector; each ranks what they may see, is not deleted and has a label that they name."""
+    number = F.col("id")
+    points = views.table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("dense"), "label")
+    asked = points.where("id % 50 = 0").select(number.alias("query_id"), "dense", *_asking(F.floor(number / 50), F.array(*map(F.lit, "12358"))))
+    points = gates.exclude_deleted(points.select("id", "dense", *_guarded(number, F.col("label"))))
+    points = points.withColumn("marks", visibility.point_marks(["field"]))
+    found = search.dense_search(points, asked.withColumn("marks", visibility.query_marks(["field"])))
+    return found.select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
+@query(
+    "top02_guarded_sparse_search",
+    f"""WITH {_WORDS}, tf AS (SELECT doc_id, idx, count(*) AS tf FROM words_v GROUP BY ALL),
+    qw AS (SELECT item_id, (('0x' || substr(sha256(w), 1, 8))::BIGINT % 100000)::INTEGER AS idx
+      FROM (SELECT item_id, unnest(regexp_split_to_array(lower(text), '\\s+')) AS w FROM benchmark) WHERE w <> ''),
+    qt AS (SELECT item_id, idx, count(*) AS tf FROM qw GROUP BY ALL), df AS (SELECT idx, count(*) AS df FROM tf GROUP BY idx),
+    n AS (SELECT count(DISTINCT doc_id) AS n FROM tf),
+    p AS (SELECT doc_id, source AS field, {_GUARDED.format(n='doc_id')} FROM documents WHERE doc_id % 9 <> 4),
+    q AS (SELECT item_id, {_ASKING.format(n='item_id', wanted="['src1', 'src3', 'src4', 'src8', 'src12']")} FROM benchmark),
+    s AS (SELECT qt.item_id AS query_id, tf.doc_id AS id, sum(qt.tf * tf.tf * ln(1 + (n - df + 0.5) / (df + 0.5))) AS score
+      FROM qt JOIN df USING (idx) JOIN tf USING (idx) JOIN q USING (item_id) JOIN p ON p.doc_id = tf.doc_id AND {_MAY}, n GROUP BY ALL)
+    SELECT query_id, id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM s QUALIFY rank <= 20""",
+)
+def top02_guarded(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items as questions of ten users over documents with access lists, sources and deletions."""
+    docs, items = views.table(spark, folder, "documents"), views.table(spark, folder, "benchmark")
+    terms = reports.term_frequencies(docs, "doc_id", "text").withColumnRenamed("doc_id", "id")
+    asked = reports.term_frequencies(items, "item_id", "text").withColumnRenamed("item_id", "query_id")
+    about = gates.exclude_deleted(docs.select(F.col("doc_id").alias("id"), *_guarded(F.col("doc_id"), F.col("source"))))
+    asking = items.select(F.col("item_id").alias("query_id"), *_asking(F.col("item_id"), F.array(*map(F.lit, ("src1", "src3", "src4", "src8", "src12")))))
+    about, asking = about.withColumn("marks", visibility.point_marks(["field"])), asking.withColumn("marks", visibility.query_marks(["field"]))
+    found = search.sparse_search(store.stage(terms, "terms"), asked, about=about, asking=asking)
+    return found.select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
 @query("top03_sorted_ids", "SELECT DISTINCT source, doc_id FROM documents")
 def top03(spark: SparkSession, folder: str) -> DataFrame:
     """All ids of each source as ordered rows, so that no row grows with a source."""
