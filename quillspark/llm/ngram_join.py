@@ -22,7 +22,7 @@ from quillspark.llm.shingles import WordHashes, mix, shingle_set
 RATIO = 1.25
 #: Pairs whose bitmaps are compared at once in a task (memory only).
 CHUNK = 1 << 14
-_SALT = np.uint64(0xD6E8FEB86659FD93)
+_SALT, _LOW = np.uint64(0xD6E8FEB86659FD93), np.uint64((1 << 26) - 1)
 
 
 class Bands:
@@ -52,31 +52,30 @@ class Bands:
         return (self.starts[band + 1] - 1) * (100 - self.percent) // self.percent + 2
 
     def tiles(self, shingles: np.ndarray, band: int) -> np.ndarray:
-        """Sorted keys of the set's tiles in a band; none where only equal sets are similar."""
+        """Keys of the set's tiles in a band; none where only equal sets are similar."""
         count = self.parts(band)
         if count == 2:
             return np.zeros(0, dtype=np.int64)
         salt = mix(np.array([band + 1], dtype=np.uint64) * _SALT)
         spread = mix(shingles ^ salt)
         part = ((spread >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(spread[order] + _SALT), dtype=np.uint64)])
-        edges = np.searchsorted(part[order], np.arange(count + 1))
-        held = np.flatnonzero(np.diff(edges))
-        keys = mix((sums[edges[1:]] - sums[edges[:-1]])[held] * _SALT + held.astype(np.uint64) + salt)
-        void = np.setdiff1d(np.arange(count), held)
+        # Sums of 26 bits at a time are exact in doubles, which bincount adds up.
+        low, high = (np.bincount(part, (spread >> np.uint64(shift) & _LOW).astype(np.float64), count).astype(np.uint64) for shift in (0, 26))
+        sizes = np.bincount(part, minlength=count)
+        held, void = np.flatnonzero(sizes), np.flatnonzero(sizes == 0)
+        keys = mix((mix(low + salt) * _SALT + high)[held] * _SALT + held.astype(np.uint64))
         pairs = [(x * count + y) * 2 + 1 for x, y in combinations(void.tolist(), 2)]
         keys = np.concatenate([keys, mix(mix(np.array(pairs, dtype=np.uint64) + salt) + salt)]) if pairs else keys
-        return np.sort(keys.view(np.int64))
+        return keys.view(np.int64)
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
     """A bit for each element's hash, in at least twice as many bits as there are elements (a power of two)."""
     bits = max(64, 1 << int(2 * len(shingles) - 1).bit_length())
     at = mix(shingles + _SALT) & np.uint64(bits - 1)
-    out = np.zeros(bits // 64, dtype=np.uint64)
-    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-    return out
+    out = np.zeros(bits, dtype=bool)
+    out[at.astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").view(np.uint64)
 
 
 def folded(maps: list[bytes]) -> np.ndarray:
@@ -154,17 +153,11 @@ def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
 
 
 def _tile_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components within each cell of a tile that their bitmaps do not rule out.
-
-    A pair that shares several tiles is looked at in the first of them only.
-    """
+    """Pairs across components within each cell of a tile that their bitmaps do not rule out."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in runs(batches, ["key", "low", "high"]):
-            key, low, high = group.key.iat[0], group.low.iat[0], group.high.iat[0]
-            tiles = [next((x for x in lists if key in x), None) for lists in group.tiles]
-            if held := [k for k, x in enumerate(tiles) if x is None]:  # another text of the same id
-                group, tiles = group.drop(index=group.index[held]), [x for x in tiles if x is not None]
+            low, high = group.low.iat[0], group.high.iat[0]
             ids, owner, part, size = (group[c].to_numpy() for c in ("id", "component", "block", "n_shingles"))
             maps = folded(group.bitmap.tolist())
             for x in np.flatnonzero(part == low):
@@ -174,13 +167,19 @@ def _tile_pairs(members: DataFrame, percent: int) -> DataFrame:
                 for start in range(0, len(y), CHUNK):
                     some = y[start : start + CHUNK]
                     some = some[may_overlap(maps[x][None, :], maps[some], size[some] + size[x], percent)]
-                    some = [k for k in some.tolist() if np.intersect1d(tiles[x], tiles[k], assume_unique=True)[0] == key]
-                    if some:
+                    if len(some):
                         yield pd.DataFrame({"a": np.minimum(ids[x], ids[some]), "b": np.maximum(ids[x], ids[some])})
 
     return by_key(members, ["key", "low", "high"]).mapInPandas(each, "a long, b long")
 
 
+def _once(shared: DataFrame) -> DataFrame:
+    """Only one of the tiles that have the same members (by count and two sums of 64-bit hashes)."""
+    marks = [F.sum(F.xxhash64("id", F.lit(k)).cast("decimal(20,0)")).alias(f"mark{k}") for k in (0, 1)]
+    tiles = shared.groupBy("key").agg(F.count("*").alias("members"), *marks)
+    return shared.join(tiles.groupBy("members", "mark0", "mark1").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
 def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90, block: int = 512) -> DataFrame:
     """Components of documents whose sets of word n-grams overlap by ``percent`` of their union, exactly.
 
@@ -189,7 +188,7 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     * Equal sets are one class. Tiles (``Bands``) find every pair of classes
       that may be similar: none is lost, and texts that share no part of their
-      contents do not meet.
+      contents do not meet. Of tiles with the same members one is looked at.
     * In each tile the members first meet the one whose tiles hold the most
       sets; then, block by block, those outside the tile's largest component
       meet all that are in other components. Bitmaps of hashed elements bound
@@ -216,9 +215,9 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     keyed = firsts.select("id", F.explode(F.flatten("tiles")).alias("key"))
     crowded = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    shared = stash(keyed.join(crowded, "key"), "shared")
+    shared = stash(_once(stash(keyed.join(crowded, "key"), "crowded")), "shared")
     busy = stash(shared.groupBy("id").agg(F.sum("members").alias("mass")), "busy")
-    nodes = stash(semi_join(firsts, busy.select("id"), "id"), "nodes")
+    nodes = stash(semi_join(firsts.select("id", "n_shingles", "bitmap"), busy.select("id"), "id"), "nodes")
     sets = stash(_sets(semi_join(texts, busy.select("id"), "id"), width), "sets")
 
     centre = shared.join(busy, "id").groupBy("key").agg(F.max(F.struct("mass", (-F.col("id")).alias("minus"))).alias("c"))
