@@ -3,12 +3,13 @@ import re
 from collections import Counter
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quillspark.llm import collocations as module
-from quillspark.llm.collocations import _stitched, _walk, collocations, phrase_counts
+from quillspark.llm.collocations import Filter, _stitched, _walk, collocations, phrase_counts
 
 SCHEMA = "doc_id long, text string, lang string, n long, phrase string, path string, part int"
 
@@ -94,6 +95,26 @@ def test_no_limit_and_empty_tables(spark):
     assert run(spark, []) == run(spark, [(1, None, None), (2, " ", "en")]) == []
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text(st.sampled_from("abc .\n"), max_size=80), st.integers(2, 4), st.integers(0, 10**6))
+def test_a_filter_loses_no_phrase_whose_parts_it_holds(text, length, seed):
+    data, draw = lower(text).encode(), random.Random(seed)
+    shorter = sorted({p for p in phrases(text, length) if len(p) == length - 1})
+    held = set(draw.sample(shorter, draw.randint(0, len(shorter))))
+    known = Filter()
+    for p in held:
+        code = np.zeros(1, dtype=np.uint64)
+        for word in p:
+            code = Filter.joined(code, Filter.word_hashes([word.encode()]))
+        for at in Filter.places(code):
+            known.bits[at >> 3] |= np.uint8(1) << (at & 7).astype(np.uint8)
+    got = Counter()
+    for names, counts in phrase_counts(data, length, known=known)[1]:
+        got.update(dict(zip(names.to_pylist(), counts.tolist(), strict=True)))
+    want = Counter(" ".join(p) for p in phrases(text, length) if len(p) == length and p[1:] in held and p[:-1] in held)
+    assert got == want  # of so few phrases none is let through by chance
+
+
 def test_long_texts_and_products_over_64_bits(spark):
     """One text is longer than what a task counts at once; a million times the square of a count passes 64 bits."""
     times = 3_300_000
@@ -113,17 +134,19 @@ def test_ranges_cut_anywhere_give_the_same_counts(paths, seed, ranges):
     paths = sorted({tuple(p[:k]) for p in paths for k in range(1, len(p) + 1)})
     n = {p: draw.randint(1, 50) for p in paths}
     cuts = sorted(draw.randint(0, len(paths)) for _ in range(ranges - 1))
-    got, ends = {}, []
+    got, ends, names = {}, [], ["lang", "phrase", "depth", "n", "given", "wider", "part"]
     for part, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(paths)], strict=True)):
         some = paths[a:b]
         size = draw.randint(1, 5)
-        batches = [pd.DataFrame([(p, n[p], None, None, part) for p in some[k : k + size]], columns=["path", "n", "given", "wider", "part"]) for k in range(0, len(some), size)]
+        batches = [
+            pd.DataFrame([("en", " ".join(p), len(p) - 1, n[p], None, None, part) for p in some[k : k + size]], columns=names) for k in range(0, len(some), size)
+        ]
         for frame in _walk(iter(batches)):
             for row in frame.itertuples():
-                if row.path is None:
+                if row.phrase is None:
                     ends.append((part, row.before, row.heads))
                 else:
-                    got[tuple(row.path)] = (part, row.before, row.longer, row.open)
+                    got[tuple(row.phrase.split())] = (part, row.before, row.longer, row.open)
     found = {part: (known, more) for part, known, more in _stitched(ends)}
     for p in paths:
         part, before, longer, is_open = got[p]
