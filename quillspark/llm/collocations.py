@@ -23,12 +23,16 @@ CHUNK = 1 << 23
 #: Bits of the filter that is broadcast (8 MB), as a power of two.
 FILTER_BITS = 26
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-#: What ends a piece; a word or such an end; where a text may be cut.
-_BREAK = b".,;:!?\n\x0b\x0c\r"
-_TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]+")
+#: A tab counts as a space, and what ends a piece as a line's end.
+_PLAIN = bytes.maketrans(b"\t.,;:!?\x0b\x0c\r", b" " + b"\n" * 9)
 _GAP = re.compile(rb"[ \t.,;:!?\n-\r]")
 
 
+def tokens_of(data: bytes) -> list[bytes]:
+    """Words, and a line's end for what ends a piece."""
+    return [x for x in data.translate(_PLAIN).replace(b"\n", b" \n ").split(b" ") if x]
+
+
 class Filter:
     """A set of phrases as bits: never denies a phrase that was added, and takes the same memory for any number of them."""
 
@@ -62,14 +66,13 @@ def phrase_counts(data: bytes, longest: int, head: list[bytes] = (), known: Filt
     ``head`` holds the tokens before the text; phrases that end in it count
     for nothing, so a text may be counted piece by piece.
     """
-    tokens = [*head, *_TOKEN.findall(data)]
+    tokens = [*head, *tokens_of(data)]
     codes, kinds = pd.factorize(np.array(tokens, dtype=object))
     tail = tokens[-(longest - 1) :] if longest > 1 else []
     if not len(codes):
         return 0, [], []
-    stops = np.array([x[0] in _BREAK for x in kinds])
     words = pa.array(kinds, pa.binary()).cast(pa.string())
-    codes = np.where(stops[codes], -1, codes)
+    codes = np.where((kinds == b"\n")[codes], -1, codes)
     late, count, out = np.arange(len(codes)) >= len(head), len(kinds), []
     may = np.ones(max(0, len(codes) - longest + 1), dtype=bool)
     if known is not None and len(may):
@@ -81,23 +84,29 @@ def phrase_counts(data: bytes, longest: int, head: list[bytes] = (), known: Filt
         may = held[: len(may)] & held[1 : len(may) + 1]
     ids, columns = codes, np.arange(count)[:, None]
     for length in range(1, longest + 1):
-        if length > 1:
+        last = late[length - 1 :]
+        if length == 1:
+            seen = np.bincount(codes[(codes >= 0) & last], minlength=count)
+        else:
             if len(ids) < 2:
                 break
             joined = (ids[:-1] >= 0) & (codes[length - 1 :] >= 0)
             if known is not None:  # a place goes on only if the whole phrase that starts there may count
                 joined[: len(may)] &= may[: len(joined)]
                 joined[len(may) :] = False
-            keys, ids = np.unique((ids[:-1] * count + codes[length - 1 :])[joined], return_inverse=True)
+            keys = ids[:-1] * count + codes[length - 1 :]
+            if length == longest:
+                keys, seen = np.unique(keys[joined & last], return_counts=True)
+            else:
+                keys, held = np.unique(keys[joined], return_inverse=True)
+                ids = np.full(len(joined), -1)
+                ids[joined] = held
+                seen = np.bincount(ids[(ids >= 0) & last], minlength=len(keys))
             columns = np.column_stack([columns[keys // count], keys % count])
-            ids, held = np.full(len(joined), -1), ids
-            ids[joined] = held
-        if known is not None and length < longest:
-            continue
-        seen = np.bincount(ids[(ids >= 0) & late[length - 1 :]], minlength=len(columns))
-        some = np.flatnonzero(seen)
-        parts = [words.take(pa.array(columns[some, k])) for k in range(length)]
-        out.append((pc.binary_join_element_wise(*parts, " ") if length > 1 else parts[0], seen[some]))
+        if known is None or length == longest:
+            some = np.flatnonzero(seen)
+            parts = [words.take(pa.array(columns[some, k])) for k in range(length)]
+            out.append((pc.binary_join_element_wise(*parts, " ") if length > 1 else parts[0], seen[some]))
     return int((late & (codes >= 0)).sum()), out, tail
 
 
