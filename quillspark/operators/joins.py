@@ -9,18 +9,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import DEFAULT_DOC_TYPE, sample_text
+from quillspark.sources.store import stage
 
-Classifier = Callable[[list[str]], list[tuple[str, float] | None]]
+Classifier = Callable[[list[str]], list[tuple[str, float] | tuple[str, float, str | None] | None]]
 
 #: A side is broadcast up to so many rows and characters; beyond that the join shuffles.
 SMALL_ROWS, SMALL_CHARS = 100_000, 32_000_000
 
 
 def small(frame: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """The frame, to be broadcast if it has few rows that are not wide; counts no further than the bound."""
-    size = F.sum(F.length(F.to_json(F.struct("*")))) if frame.columns else F.lit(0)
-    count, chars = frame.limit(rows + 1).agg(F.count("*"), size).first()
-    return F.broadcast(frame) if count <= rows and (chars or 0) <= SMALL_CHARS else frame
+    """The frame, to be broadcast if it has few rows that are not wide.
+
+    It is computed once and staged, so that neither the count (which reads no
+    column) nor the join computes it again; its characters are counted only if
+    its rows are few.
+    """
+    held = stage(frame, "side")
+    if held.count() > rows:
+        return held
+    chars = held.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
+    return F.broadcast(held) if (chars or 0) <= SMALL_CHARS else held
 
 
 def load_message_pages(messages: DataFrame, raw_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -131,10 +139,12 @@ def new_job_requests(requests: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def classify_spaces(pages: DataFrame, load: Callable[[], Classifier]) -> DataFrame:
-    """(space_key, dominant, confidence) by one sample page per space, the one with the smallest id.
+    """(space_key, dominant, confidence, secondary) by one sample page per space, the one with the smallest id.
 
     ``load`` gives, once per worker, a callable from sample texts to (type,
-    confidence) pairs; None for a text that it cannot classify.
+    confidence) or (type, confidence, second type); None for a text that it
+    cannot classify. A second type that is missing, empty or the first one
+    again is null.
     """
     sample = sample_text(F.col("title"), F.col("labels"), F.col("body_html"))
     samples = pages.groupBy("space_key").agg(F.min_by(sample, "page_id").alias("sample"))
@@ -142,11 +152,12 @@ def classify_spaces(pages: DataFrame, load: Callable[[], Classifier]) -> DataFra
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load()
         for batch in batches:
-            found = [x or (None, None) for x in model(batch["sample"].tolist())]
-            kinds, sure = zip(*found, strict=True) if found else ((), ())
-            yield pd.DataFrame({"space_key": batch.space_key, "dominant": kinds, "confidence": pd.array(sure, dtype="Float64")})
+            found = [(*(x or (None, None)), None)[:3] for x in model(batch["sample"].tolist())]
+            kinds, sure, second = zip(*found, strict=True) if found else ((), (), ())
+            second = [None if not y or y == x else y for x, y in zip(kinds, second, strict=True)]
+            yield pd.DataFrame({"space_key": batch.space_key, "dominant": kinds, "confidence": pd.array(sure, dtype="Float64"), "secondary": second})
 
-    return samples.mapInPandas(each, "space_key string, dominant string, confidence double")
+    return samples.mapInPandas(each, "space_key string, dominant string, confidence double, secondary string")
 
 
 def union_trash(batches: list[DataFrame]) -> DataFrame:

@@ -432,10 +432,11 @@ def src04(spark: SparkSession, folder: str) -> DataFrame:
 )
 def src07(spark: SparkSession, folder: str) -> DataFrame:
     """Line items written as CSV files by Spark and read back as cells, without the header row of each file."""
+    from quillspark.sources import sheets
     from quillspark.sources.store import shared_path
 
     path = shared_path(spark, "csv")
     views.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.lit("007").alias("code")).write.csv(path, header=True)
-    cells = sources.read_csv_cells(spark, path).where("row_no > 0")
+    cells = sheets.read_csv_cells(spark, path).where("row_no > 0")
     names = ("order_key", "line_number", "flag", "code")
     return cells.select(*(F.get("cells", k).alias(name) for k, name in enumerate(names)), F.size("cells").alias("width"))

@@ -955,7 +955,7 @@ def udf01(spark: SparkSession, folder: str) -> DataFrame:
 def udf02(spark: SparkSession, folder: str) -> DataFrame:
     """A stand-in classifier that goes by the length of the sample."""
     load = lambda: lambda texts: [(("faq", 0.9), ("adr", 0.4), None)[len(x) % 3] for x in texts]
-    return joins.classify_spaces(views.pages(spark, folder), load)
+    return joins.classify_spaces(views.pages(spark, folder), load).select("space_key", "dominant", "confidence")
 
 
 @query("snk04_points_by_pool", f"WITH {PAGES} SELECT pool, count(*) AS points FROM pages_v, (SELECT unnest(['title', 'content', 'label']) AS pool) GROUP BY pool")

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator
 from pathlib import PurePosixPath
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import normalize_link, parse_iso_offset
 from quillspark.operators.gates import extracted_format
+from quillspark.sources.sheets import ENCODINGS
 
 RESPONSES = (
     "single_page_responses array<struct<id: string, space: struct<key: string, id: string, name: string>, title: string,"
@@ -20,8 +21,6 @@ RESPONSES = (
     " metadata: struct<labels: struct<results: array<struct<name: string>>>>, ancestors: array<struct<title: string>>,"
     " attachments: array<struct<filename: string, content_type: string>>>>"
 )
-#: Encodings of CSV files, in the order in which they are tried.
-ENCODINGS = ("utf-8-sig", "cp949", "utf-8", "latin-1")
 
 
 def flatten_responses(responses: DataFrame) -> DataFrame:
@@ -102,23 +101,12 @@ def _decoded(raw: bytes) -> str:
 
 
 def csv_cells(name: str, raw: bytes) -> Iterator[tuple[str, int, list[str]]]:
-    """(sheet, row number, cells) of one file; cells trimmed and kept as text, empty rows left out."""
+    """(sheet, row number, cells) of one small file at hand; cells trimmed and kept as text, empty rows left out.
+
+    Files of any size are read by ``sheets.read_csv_cells``.
+    """
+    csv.field_size_limit(sys.maxsize)
     sheet = PurePosixPath(name).stem or name
     rows = ([cell.strip() for cell in row] for row in csv.reader(io.StringIO(_decoded(raw))))
     for number, row in enumerate(row for row in rows if any(row)):
         yield sheet, number, row
-
-
-def read_csv_cells(spark: SparkSession, path: str) -> DataFrame:
-    """Cells of all CSV files of a folder: attachment_id (the file's stem), sheet_name, row_no, cells."""
-
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, raw in zip(batch.path, batch.content, strict=True):
-                rows = list(csv_cells(name.rsplit("/", 1)[-1], bytes(raw)))
-                if rows:
-                    frame = pd.DataFrame(rows, columns=["sheet_name", "row_no", "cells"])
-                    yield frame.assign(attachment_id=frame.sheet_name)[["attachment_id", "sheet_name", "row_no", "cells"]]
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path", "content")
-    return files.mapInPandas(each, "attachment_id string, sheet_name string, row_no int, cells array<string>")
