@@ -259,9 +259,11 @@ def first_pass(block: Block) -> int:
     """Good, bad or unsure, by stop-word density, length and link density.
 
     Prose is good: a block with many stop words from ``SHORT`` characters on,
-    with some from ``LONG`` on. Blocks that are mostly links, and short ones with
-    a copyright sign, are bad. Short blocks, headings, and longer ones with few
-    stop words (tables, names) are unsure.
+    with some from ``LONG`` on. One without any is in a language that no list
+    knows: there length decides alone, where few characters are linked. Blocks
+    that are mostly links, and short ones with a copyright sign, are bad. Short
+    blocks, headings, and longer ones with few stop words (tables, names) are
+    unsure.
     """
     size = len(block.text)
     if block.links > LINKED * size and size - block.links < SHORT:
@@ -270,6 +272,8 @@ def first_pass(block: Block) -> int:
         return BAD
     if not block.heading and size >= SHORT and block.stops >= (STOPS_LOW if size >= LONG else STOPS_HIGH):
         return GOOD
+    if not block.heading and size >= SHORT and block.stops == 0 and block.links <= LINKED * size:
+        return GOOD
     return UNSURE
 
 

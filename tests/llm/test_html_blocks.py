@@ -126,3 +126,10 @@ def test_columns_and_rows(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1)).withColumn("_html", F.lit(2))
     got = sorted((r.page_id or 0, len(r.text), r.n_chars) for r in extract_main_text(frame).collect())
     assert got == [(0, 0, 0), (1, 0, 0), (1, len(WANT), len(WANT)), (1, len(WANT), len(WANT)), (2, 499_999, 499_999)]
+
+
+def test_prose_of_a_language_without_a_list_survives_beside_links():
+    first = "Это первый абзац на языке, для которого нет списка слов, и он достаточно длинный, чтобы быть текстом статьи."
+    second = "日本語の段落です。" * 12
+    page = f"<div><a href=x>One link here</a> <a href=y>Another link</a></div><div><p>{first}</p><p>{second}</p></div>"
+    assert main_text(page) == f"{first}\n\n{second}"
