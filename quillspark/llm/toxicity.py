@@ -3,7 +3,8 @@
 Many voters (lexicons and patterns) look at every document. A generative model
 estimates from all votes how often each fires on toxic and on clean texts and
 which voters depend on one another; its posteriors are the labels that a
-linear classifier is trained on, and the classifier scores every text.
+linear classifier is trained on, and the classifier scores every text. No
+voter is made of others: terms with one beginning belong to one voter.
 """
 
 from __future__ import annotations
@@ -34,12 +35,17 @@ _ADDRESS = re.compile(r"\byou(?:'re| are|)\s+(?:an?\s+|such\s+|all\s+|so\s+)*(\w
 _BANGS = re.compile(r"!{2,}")
 _WORD = re.compile(r"[^\W\d_]+")
 
-#: Voters whose lexicons are induced from labelled rows; terms are dealt among them by hash.
+#: Voters whose lexicons are induced from labelled rows; families of terms are dealt among them in turn.
 INDUCED = 8
 PATTERNS = ("shouting", "bangs", "masked", "address")
-VOTERS = [*LEXICONS, *PATTERNS, *(f"induced_{k}" for k in range(INDUCED)), "induced_many"]
+VOTERS = [*LEXICONS, *PATTERNS, *(f"induced_{k}" for k in range(INDUCED))]
 #: Beginnings of words that count as terms, in letters.
 PREFIXES = range(3, 8)
+#: A term marks a text of the sample, and an induced voter fires, if one of so many words at least is a hit. Chance
+#: hits grow with a text's length, shares do not.
+TERM_EACH, VOTE_EACH = 300, 200
+#: Features of a text besides terms and votes: one hit at least in so many words, and so many hits.
+SHARES, HITS = (1000, 300, 100, 50), (1, 2, 4)
 
 
 def held_out(id_col: str) -> Column:
@@ -56,16 +62,19 @@ class Reader:
 
     def __init__(self, terms: list[str], remembered: int = 200_000):
         self.number = {term: k for k, term in enumerate(terms)}
-        self.voter = [len(LEXICONS) + len(PATTERNS) + k % INDUCED for k in range(len(terms))]
+        families: dict[str, int] = {}
+        self.voter = [families.setdefault(term[: PREFIXES[0]], len(families)) % INDUCED for term in terms]
         self.fixed = {w: k for k, words in enumerate(LEXICONS.values()) for w in words.split()}
-        self.cache: dict[str, tuple] = {}
+        self.cache: dict[str, tuple[tuple[int, ...], frozenset[int]]] = {}
         self.remembered = remembered
 
-    def _hits(self, word: str) -> tuple:
+    def _hits(self, word: str) -> tuple[tuple[int, ...], frozenset[int]]:
+        """Numbers of the terms that a word holds, and of their voters."""
         if (hits := self.cache.get(word)) is None:
             if len(self.cache) >= self.remembered:
                 self.cache.clear()
-            hits = self.cache[word] = tuple(self.number[t] for t in _terms(word) if t in self.number)
+            terms = tuple(self.number[t] for t in _terms(word) if t in self.number)
+            hits = self.cache[word] = terms, frozenset(self.voter[t] for t in terms)
         return hits
 
     def read(self, text: str | None) -> tuple[int, list[int]]:
@@ -73,16 +82,22 @@ class Reader:
         if not text:
             return 0, []
         lower = text.lower()
-        words = set(_WORD.findall(lower))
+        words = Counter(_WORD.findall(lower))
+        length, many, heard = words.total(), 0, [0] * INDUCED
         votes, features = 0, set()
-        for word in words:
-            features.update(self._hits(word))
-        for k in features:
-            votes |= 1 << self.voter[k]
-        many, total = len(features), len(self.number)
-        for word in words & self.fixed.keys():
+        for word, count in words.items():
+            terms, voters = self._hits(word)
+            if terms:
+                features.update(terms)
+                many += count
+                for k in voters:
+                    heard[k] += count
+        start, total = len(LEXICONS), len(self.number)
+        for k, count in enumerate(heard):
+            if count and count * VOTE_EACH >= length:
+                votes |= 1 << start + len(PATTERNS) + k
+        for word in words.keys() & self.fixed.keys():
             votes |= 1 << self.fixed[word]
-        start = len(LEXICONS)
         if "!!" in text and len(_BANGS.findall(text)) * 4 > len(words):
             votes |= 1 << start + 1
         if text != lower and 2 * sum(map(str.isupper, text)) > sum(map(str.isalpha, text)):
@@ -91,21 +106,28 @@ class Reader:
             votes |= 1 << start + 2
         if "you" in lower and any(w in self.fixed for w in _ADDRESS.findall(lower)):
             votes |= 1 << start + 3
-        if many >= 3:
-            votes |= 1 << len(VOTERS) - 1
         out = sorted(features)
         out += [total + k for k in range(len(VOTERS)) if votes >> k & 1]
-        out += [total + len(VOTERS) + k for k, least in enumerate((1, 2, 4, 8)) if many >= least]
+        total += len(VOTERS)
+        out += [total + k for k, each in enumerate(SHARES) if many and many * each >= length]
+        out += [total + len(SHARES) + k for k, least in enumerate(HITS) if many >= least]
         return votes, out
 
     @property
     def size(self) -> int:
-        return len(self.number) + len(VOTERS) + 4
+        return len(self.number) + len(VOTERS) + len(SHARES) + len(HITS)
 
 
 @dataclass
 class LabelModel:
-    """A latent label, voters that depend on it, and for each at most one voter that it also depends on."""
+    """A latent label, voters that depend on it, and for each at most one voter that it also depends on.
+
+    A voter that never fires, or fires about as often on given clean as on given
+    toxic labels, says nothing: its chances stay at one half. Rows without a
+    given label weigh ``unlabelled`` of a row each while the model is fitted, so
+    that the many do not turn the latent label into some other division of the
+    texts (such as by language).
+    """
 
     prior: float = 0.1
     parent: list[int] = field(default_factory=list)
@@ -113,6 +135,9 @@ class LabelModel:
     chance: np.ndarray | None = None
     #: Chance that a given label says toxic on clean and on toxic texts.
     given: np.ndarray = field(default_factory=lambda: np.array([0.02, 0.95]))
+    unlabelled: float = 0.1
+    #: Voters that say something.
+    used: list[int] = field(default_factory=list)
 
     def log_likelihood(self, votes: np.ndarray) -> np.ndarray:
         """For each row of votes (0 or 1) and label, without the prior."""
@@ -130,44 +155,62 @@ class LabelModel:
         logs += np.where(label[:, None] < 0, 0.0, np.log(said))
         return 1 / (1 + np.exp(np.clip(logs[:, 0] - logs[:, 1], -50, 50)))
 
-    def fit(self, votes: np.ndarray, label: np.ndarray, count: np.ndarray, rounds: int = 25) -> LabelModel:
-        """Expectation maximisation on counted vote patterns; then again with the strongest dependencies."""
-        voters = votes.shape[1]
-        self.parent = [-1] * voters
-        start = np.where(label >= 0, np.where(label == 1, 0.95, 0.02), np.where(votes[:, -1] == 1, 0.7, 0.05))
+    def fit(self, votes: np.ndarray, label: np.ndarray, count: np.ndarray, rounds: int = 50) -> LabelModel:
+        """Expectation maximisation on counted vote patterns; then again with the strongest dependencies.
+
+        It starts from the given labels and, elsewhere, from how many of the used voters fire.
+        """
+        self.parent, self.used = [-1] * votes.shape[1], self._speaking(votes, label, count)
+        fired = votes[:, self.used].sum(axis=1)
+        start = np.where(label == 1, 0.95, np.where(label == 0, 0.02, np.array([0.03, 0.3, 0.8])[np.minimum(fired, 2)]))
+        weight = np.where(label >= 0, 1.0, self.unlabelled) * count
         for stage in range(2):
             q = start if stage == 0 else self.posterior(votes, label)
             if stage:
-                self.parent = self._tree(votes, q, count)
+                for j, parent in zip(self.used, self._tree(votes[:, self.used], q, weight), strict=True):
+                    self.parent[j] = self.used[parent] if parent >= 0 else -1
             for _ in range(rounds):
-                self._maximise(votes, label, count, q)
+                self._maximise(votes, label, weight, q)
                 now = self.posterior(votes, label)
                 if np.abs(now - q).max() < 1e-6:
                     break
                 q = now
         return self
 
+    @staticmethod
+    def _speaking(votes: np.ndarray, label: np.ndarray, count: np.ndarray, least: float = 1.5) -> list[int]:
+        """Voters that fire, and ``least`` times as often on given toxic as on given clean labels (if there are both)."""
+        fires = count @ votes
+        clean, toxic = (count * (label == y) for y in (0, 1))
+        if not clean.sum() or not toxic.sum():
+            return np.nonzero(fires)[0].tolist()
+        rates = [(w @ votes + 0.5) / (w.sum() + 1) for w in (clean, toxic)]
+        return np.nonzero((fires > 0) & (rates[1] > least * rates[0]))[0].tolist()
+
     def _maximise(self, votes: np.ndarray, label: np.ndarray, count: np.ndarray, q: np.ndarray) -> None:
         weight = np.stack([count * (1 - q), count * q])
         self.prior = float(np.clip(weight[1].sum() / max(count.sum(), 1), 1e-4, 1 - 1e-4))
         self.chance = np.full((votes.shape[1], 2, 2), 0.5)
-        for j, parent in enumerate(self.parent):
+        for j in self.used:
+            parent = self.parent[j]
             state = votes[:, parent] if parent >= 0 else np.zeros(len(votes), dtype=int)
             for y in (0, 1):
                 for s in (0, 1):
                     here = weight[y] * (state == s)
                     base = (weight[y] @ votes[:, j] + 0.5) / (weight[y].sum() + 1)
                     self.chance[j, y, s] = (here @ votes[:, j] + 2 * base) / (here.sum() + 2)
-        self.chance = np.clip(self.chance, 1e-4, 1 - 1e-4)
+        self.chance = np.clip(self.chance, 0.003, 0.997)
         known = label >= 0
         for y in (0, 1):
             share = (weight[y][known] @ label[known] + (0.95 if y else 0.02) * 20) / (weight[y][known].sum() + 20)
             self.given[y] = np.clip(share, 1e-3, 1 - 1e-3)
 
     @staticmethod
-    def _tree(votes: np.ndarray, q: np.ndarray, count: np.ndarray, least: float = 1e-4) -> list[int]:
+    def _tree(votes: np.ndarray, q: np.ndarray, count: np.ndarray, least: float = 1e-3) -> list[int]:
         """Maximum spanning tree of the voters' dependence within labels (weak edges are left out)."""
         voters, total = votes.shape[1], count.sum()
+        if not voters:
+            return []
         gain = np.zeros((voters, voters))
         for weight in (count * q, count * (1 - q)):
             both = (votes * weight[:, None]).T @ votes
@@ -189,14 +232,22 @@ class LabelModel:
 
 
 def induce_terms(sample: DataFrame, limit: int, least: int = 3) -> list[str]:
-    """Terms that mark toxic rows of the sample: words and beginnings of words, strongest first."""
+    """Terms that mark toxic rows of the sample: words and beginnings of words, strongest first.
+
+    A term counts for a row where one of ``TERM_EACH`` words holds it at least.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, label in zip(batch.column("text"), batch.column("label"), strict=True):
-                words = set(_WORD.findall((text.as_py() or "").lower()))
-                counts[label.as_py()].update({t for w in words for t in _terms(w)})
+                held: Counter = Counter()
+                words = Counter(_WORD.findall((text.as_py() or "").lower()))
+                for word, count in words.items():
+                    for term in _terms(word):
+                        held[term] += count
+                length = words.total()
+                counts[label.as_py()].update(t for t, count in held.items() if count * TERM_EACH >= length)
         terms = list(counts[1])
         yield pa.RecordBatch.from_arrays(
             [pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in counts)],
