@@ -726,7 +726,9 @@ def chk11(spark: SparkSession, folder: str) -> DataFrame:
 def idx01(spark: SparkSession, folder: str) -> DataFrame:
     chunks = chunking.chunk_pages(views.pages(spark, folder), is_html=False)
     points = indexing.embed_pools(chunks)
-    return points.select("chunk_id", "pool", F.size("dense").alias("dim"), F.size("sparse.indices").alias("terms"))
+    return points.select(
+        "chunk_id", "pool", F.size("dense").alias("dim"), F.size("sparse.indices").alias("terms"), "dense", "sparse.indices", "sparse.values"
+    )
 
 
 @query("idx03_run_ingestion")
@@ -958,7 +960,7 @@ def udf02(spark: SparkSession, folder: str) -> DataFrame:
     return joins.classify_spaces(views.pages(spark, folder), load).select("space_key", "dominant", "confidence")
 
 
-@query("snk04_points_by_pool", f"WITH {PAGES} SELECT pool, count(*) AS points FROM pages_v, (SELECT unnest(['title', 'content', 'label']) AS pool) GROUP BY pool")
+@query("snk04_points_by_pool", f"WITH {PAGES} SELECT page_id, pool FROM pages_v, (SELECT unnest(['title', 'content', 'label']) AS pool)")
 def snk04(spark: SparkSession, folder: str) -> DataFrame:
     """Points written by pool and read back, with a log that is appended to."""
     path = store.shared_path(spark, "points")
@@ -968,7 +970,7 @@ def snk04(spark: SparkSession, folder: str) -> DataFrame:
     log = store.shared_path(spark, "log")
     store.append_records(points.select("page_id", "pool"), log)
     store.append_records(points.select("page_id", "pool").where("false"), log)
-    return spark.read.parquet(path).join(spark.read.parquet(log), ["page_id", "pool"]).groupBy("pool").agg(F.count("*").alias("points"))
+    return spark.read.parquet(path).join(spark.read.parquet(log), ["page_id", "pool"]).select("page_id", "pool")
 
 
 @query("syn02_seed_snapshot", f"WITH {SNAPSHOTS} SELECT page_id, version_number FROM before_v")

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pytest
@@ -219,15 +220,17 @@ def test_rendered_pages(spark, folder):
 
 
 def test_embedded_pools(spark, folder, bodies):
-    got = {}
+    got, dense = {}, {}
     for r in QUERIES["idx01_embed_pools"](spark, folder).collect():
-        got.setdefault(r.chunk_id, {})[r.pool] = (r.dim, r.terms)
+        assert len(r.dense) == r.dim and len(r.indices) == len(r.values) == r.terms and r.indices == sorted(r.indices)
+        got.setdefault(r.chunk_id, {})[r.pool] = (r.dim, dict(zip(r.indices, r.values, strict=True)))
+        dense.setdefault(r.pool, set()).add(tuple(r.dense))
     kinds = {"장애대응": "incident", "troubleshooting": "troubleshoot", "faq": "faq", "회의록": "meeting", "adr": "adr"}
 
     def terms(text):
-        return len({int(hashlib.sha256(w.encode()).hexdigest()[:8], 16) % 100_000 for w in text.lower().split()})
+        return dict(Counter(int(hashlib.sha256(w.encode()).hexdigest()[:8], 16) % 100_000 for w in text.lower().split()))
 
-    want = {}
+    want, texts = {}, set()
     for r in views.pages(spark, folder).collect():
         kind = kinds[r.labels[0]] if r.labels else "operation"
         rows = by_size([tuple(d) for d in chunking.body_drafts(r.body_html, kind, is_html=False)])
@@ -235,7 +238,10 @@ def test_embedded_pools(spark, folder, bodies):
             ident = hashlib.sha1(f"{r.page_id}:{n}:".encode()).hexdigest()
             label = " ".join(filter(None, [" ".join(r.labels), r.space_key, kind]))
             want[ident] = {"title": (16, terms(f"{r.title} {header}")), "content": (16, terms(text)), "label": (16, terms(label))}
+            texts.add(text)
     assert got == want
+    # Equal texts share a vector, others do not.
+    assert len(dense["content"]) == len(texts)
 
 
 def test_tokens_by_space(spark, folder):
