@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 CJK = "[가-힣぀-ヿ一-鿿]"
 #: White space that separates words: Unicode's and the four separator controls.
 SPACES = "(?U)[\\s\\x1c-\\x1f]+"
+#: Fixed value: a cell that counts as a number.
+NUMBER_CELL = r"^-?\d+(?:\.\d+)?$"
 #: Fixed value: the ISO OID name space of RFC 4122.
 OID_NAMESPACE = "6ba7b8129dad11d180b400c04fd430c8"
 #: Document types, and the label that stands for each, in order of precedence.
@@ -204,7 +206,7 @@ def serialize_row(sheet: Column, header: Column, cells: Column) -> Column:
 def is_header_row(cells: Column) -> Column:
     """Some cell is filled, and no filled cell is a number."""
     full = F.filter(F.transform(cells, lambda x: F.trim(F.coalesce(x, F.lit("")))), lambda x: x != "")
-    return (F.size(full) > 0) & F.forall(full, lambda x: ~x.rlike(r"^-?\d+(?:\.\d+)?$"))
+    return (F.size(full) > 0) & F.forall(full, lambda x: ~x.rlike(NUMBER_CELL))
 
 
 def header_names(cells: Column, width: Column) -> Column:

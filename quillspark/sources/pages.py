@@ -15,6 +15,7 @@ from quillspark.functions.text import normalize_link, parse_iso_offset
 from quillspark.operators.gates import extracted_format
 from quillspark.sources.sheets import ENCODINGS
 
+#: Fields of a page response.
 RESPONSES = (
     "single_page_responses array<struct<id: string, space: struct<key: string, id: string, name: string>, title: string,"
     " body: struct<storage: struct<value: string>>, version: struct<number: int, when: string>, _links: struct<webui: string>,"
