@@ -16,6 +16,8 @@ from quillspark.sources.store import stage
 
 #: Seconds that a failed message waits before its next attempts; after these it is dead.
 DELAYS = (1, 2, 4, 8)
+#: Rows of a frame that a processor gives.
+_OUT_ROWS = 10_000
 #: State in RocksDB, which timers and expiring values need.
 _ROCKS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
@@ -45,56 +47,77 @@ def _run(stream: DataFrame, each: Callable[[DataFrame, int], None], path: str, m
 
 
 class Retries(StatefulProcessor):
-    """Holds failed messages until they are due; those that have no attempt left go at once."""
+    """Holds the failed messages of a bucket until they are due; those that have no attempt left go at once.
+
+    A bucket has one timer, for the earliest of its messages, and its state is
+    read and written once when that fires, not once for each message.
+    """
 
     def __init__(self, event_time: bool):
         self.event_time = event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", "value string, retry_count int, due long")
-
-    def _out(self, key: tuple, route: str, rows: list[tuple]) -> Iterator[pd.DataFrame]:
-        if not rows:
-            return iter(())
-        texts = lambda x: pd.Series(x, dtype=object)
-        return iter([pd.DataFrame({
-            "message_id": texts([key[0]] * len(rows)), "value": texts([r[0] for r in rows]), "retry_count": pd.Series([r[1] for r in rows], dtype="int32"),
-            "due": pd.to_datetime([r[2] for r in rows], unit="ms"), "route": texts([route] * len(rows)),
-        })])
+        self.held = handle.getListState("held", "message_id string, value string, retry_count int, due long")
+        self.next = handle.getValueState("next", "due long")
+
+    def _out(self, rows: list[tuple], route: str) -> Iterator[pd.DataFrame]:
+        for start in range(0, len(rows), _OUT_ROWS):
+            ids, values, counts, due = zip(*rows[start : start + _OUT_ROWS], strict=True)
+            texts = lambda x: pd.Series(x, dtype=object)
+            yield pd.DataFrame({
+                "message_id": texts(ids), "value": texts(values), "retry_count": pd.Series(counts, dtype="int32"),
+                "due": pd.to_datetime(pd.Series(due, dtype="int64"), unit="ms"), "route": texts([route] * len(ids)),
+            })
+
+    def _wake(self, due: int) -> None:
+        """Have one timer, at the earliest time at which a message is due."""
+        at = self.next.get()[0] if self.next.exists() else None
+        if at is None or due < at:
+            if at is not None:
+                self.handle.deleteTimer(at)
+            self.handle.registerTimer(due)
+            self.next.update((due,))
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        dead, now = [], None if self.event_time else timerValues.getCurrentProcessingTimeInMs()
+        now, first = None if self.event_time else timerValues.getCurrentProcessingTimeInMs(), None
         for batch in rows:
-            for value, count, failed in zip(batch.value, batch.count_, batch.failed_ms, strict=True):
-                at = int(failed) if self.event_time else now
-                if count >= len(DELAYS):
-                    dead.append((value, int(count), at))
-                else:
-                    due = at + 1000 * DELAYS[count]
-                    self.held.appendValue((value, int(count) + 1, due))
-                    self.handle.registerTimer(due)
-        return self._out(key, "dead", dead)
+            at = batch.failed_ms.astype("int64") if self.event_time else pd.Series(now, batch.index, dtype="int64")
+            count = batch.count_.astype("int64")
+            over = count >= len(DELAYS)
+            due = at.where(over, at + 1000 * count.clip(upper=len(DELAYS) - 1).map(dict(enumerate(DELAYS))).astype("int64"))
+            every = list(zip(batch.message_id.tolist(), batch.value.tolist(), (count + ~over).tolist(), due.tolist(), strict=True))
+            gone = over.tolist()
+            yield from self._out([x for x, y in zip(every, gone, strict=True) if y], "dead")
+            wait = [x for x, y in zip(every, gone, strict=True) if not y]
+            if wait:
+                self.held.appendList(wait)
+                first = min(x[3] for x in wait) if first is None else min(first, *(x[3] for x in wait))
+        if first is not None:
+            self._wake(first)
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        at, held = expiredTimerInfo.getExpiryTimeInMs(), [tuple(x) for x in self.held.get()]
-        wait = [x for x in held if x[2] > at]
+        clock = timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
+        at, held = max(clock, expiredTimerInfo.getExpiryTimeInMs()), [tuple(x) for x in self.held.get()]
+        self.next.clear()
+        wait = [x for x in held if x[3] > at]
         if wait:
             self.held.put(wait)
+            self._wake(min(x[3] for x in wait))
         else:
             self.held.clear()
-        return self._out(key, "retry", [x for x in held if x[2] <= at])
+        yield from self._out([x for x in held if x[3] <= at], "retry")
 
     def close(self) -> None:
         pass
 
 
-def stream_retries(failures: DataFrame, path: str, *, clock: str | None = None, lateness: str = "0 seconds") -> DataFrame:
+def stream_retries(failures: DataFrame, path: str, *, clock: str | None = None, lateness: str = "0 seconds", buckets: int = 1024) -> DataFrame:
     """Route a stream of failed messages (message_id, value, retry_count): back after a delay, or to the dead letters.
 
     A count that is missing, no number or negative is 0. A message with fewer
-    than four attempts behind it waits 1, 2, 4 or 8 seconds, on a timer of its
-    key, and comes back with the next count; others are dead at once. While it
+    than four attempts behind it waits 1, 2, 4 or 8 seconds, on the timer of its
+    hash bucket, and comes back with the next count; others are dead at once. While it
     waits it is state, so a stream that is stopped and started on the same path
     forgets none.
 
@@ -103,15 +126,19 @@ def stream_retries(failures: DataFrame, path: str, *, clock: str | None = None,
     arrived, and one that is older than the latest by more than ``lateness`` is
     dropped by the watermark. Processes what is there and stops; each batch is
     written under its number, so a batch that is delivered again replaces what
-    it wrote. Returns all rows so far: message_id, value, retry_count, due and
+    it wrote. A bucket's waiting messages are in one task together: choose
+    ``buckets`` by how many wait at a time; a stream keeps its number. Returns all rows so far: message_id, value, retry_count, due and
     route (retry or dead).
     """
     count = F.greatest(F.lit(0), F.coalesce(F.expr("try_cast(retry_count as int)"), F.lit(0))).alias("count_")
     rows = failures.withWatermark(clock, lateness) if clock else failures
     failed = F.unix_millis(F.col(clock).cast("timestamp")) if clock else F.lit(0).cast("long")
-    names = [F.coalesce("message_id", F.lit("")).alias("message_id"), F.col("value").cast("string").alias("value"), count, failed.alias("failed_ms")]
+    ident = F.coalesce("message_id", F.lit(""))
+    # Value and time deal the messages of one id out, too: each waits for itself.
+    bucket = F.pmod(F.xxhash64(ident, "value", failed), F.lit(buckets)).cast("int").alias("bucket")
+    names = [bucket, ident.alias("message_id"), F.col("value").cast("string").alias("value"), count, failed.alias("failed_ms")]
     rows = rows.select(*names, *([clock] if clock else []))
-    routed = rows.groupBy("message_id").transformWithStateInPandas(
+    routed = rows.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=Retries(clock is not None), outputMode="append", timeMode="eventTime" if clock else "processingTime",
         outputStructType="message_id string, value string, retry_count int, due timestamp, route string",
     )
