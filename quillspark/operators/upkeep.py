@@ -77,7 +77,7 @@ class Frequencies:
         deltas = stage(deltas, "deltas")
         held = self.counts.near(deltas).select(F.col("idx").alias("_idx"), F.col("df").alias("_df"), F.col("batch").alias("_batch"))
         todo = deltas.join(held, F.col("idx") == F.col("_idx"), "left").where(F.coalesce(F.col("_batch") < batch, F.lit(True)))
-        self.counts.upsert(todo.select("idx", (F.coalesce("_df", F.lit(0)) + F.col("delta")).alias("df"), F.lit(batch).cast("long").alias("batch")))
+        self.counts.upsert(todo.select("idx", (F.coalesce("_df", F.lit(0)) + F.col("delta")).alias("df"), F.lit(batch).cast("long").alias("batch")), distinct=True)
         self.terms.replace(ids, fresh)
 
     def read(self) -> DataFrame:
