@@ -240,8 +240,12 @@ def merge_undersized(drafts: Column, least: int = MIN_TOKENS) -> Column:
 
 
 def number_chunks(drafted: DataFrame, drafts: str = "drafts") -> DataFrame:
-    """One row per draft with its place from 0; blank drafts keep their number and go."""
-    rows = drafted.select("*", F.posexplode(drafts).alias("chunk_index", "_draft")).drop(drafts)
+    """One row per draft with its place from 0; blank drafts keep their number and go.
+
+    Rows without drafts go with the blank ones: the plain ``posexplode`` has Spark filter them
+    out before, for which it makes the drafts a second time.
+    """
+    rows = drafted.select("*", F.posexplode_outer(drafts).alias("chunk_index", "_draft")).drop(drafts)
     return rows.select("*", "_draft.text", "_draft.section_header", "_draft.is_atomic").drop("_draft").where(F.trim("text") != "")
 
 

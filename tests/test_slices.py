@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import slices
 from quillspark.functions.text import computed_once, hash_embed_dense, term_counts
-from quillspark.operators.chunking import DRAFTS, draft_lists
+from quillspark.operators.chunking import DRAFTS, chunk_pages, draft_lists, number_chunks
 from quillspark.operators.reports import term_frequencies
+from quillspark.plans import views
+from quillspark.queries import QUERIES
 from quillspark.sources import store
 
 
@@ -58,3 +60,12 @@ def test_words_are_counted_within_their_row(spark, monkeypatch):
         assert {(r.id, r.idx): r.tf for r in term_frequencies(double, "id", "text", 7).collect()} == more
         assert store.one_per_key(double, ["id"]).count() == 6
     assert np.isclose(sum(more.values()), sum(r.tf for r in term_frequencies(double, "id", "text", 7).collect()))
+
+
+def test_drafts_are_made_once(spark, folder):
+    plans = [QUERIES[name](spark, folder) for name in ("chk10_size_rules", "chk02_split_operation")] + [chunk_pages(views.structured_pages(spark, folder))]
+    for plan in plans:
+        assert plan._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    drafts = [(0, [("a", "h", True), (" ", "h", True), ("b", "h", False)]), (1, []), (2, None), (3, [(None, "h", True)])]
+    rows = number_chunks(spark.createDataFrame(drafts, f"page_id int, drafts {DRAFTS}")).collect()
+    assert sorted((r.page_id, r.chunk_index, r.text) for r in rows) == [(0, 0, "a"), (0, 2, "b")]
