@@ -90,6 +90,20 @@ def term_frequencies(frame: DataFrame, ident: str, text: str, vocabulary: int =
     return counted(alone).unionByName(counted(others).groupBy(ident, "idx").agg(F.sum("tf").alias("tf")))
 
 
+def term_vectors(frame: DataFrame, ident: str, text: str, vocabulary: int = 100_000) -> DataFrame:
+    """(id, terms): one row per id with an array of (idx, tf), lower-cased words hashed into a vocabulary and counted.
+
+    Words are counted within their row (``term_counts``). Only the counts of
+    ids that several rows have are shuffled, to be added up.
+    """
+    alone, others = apart(frame.select(ident, text), [ident])
+    counted = alone.select(ident, term_counts(F.col(text), vocabulary).alias("terms"))
+    if others is None:
+        return counted
+    added = others.select(ident, F.inline(term_counts(F.col(text), vocabulary))).groupBy(ident, "idx").agg(F.sum("tf").alias("tf"))
+    return counted.unionByName(added.groupBy(ident).agg(F.sort_array(F.collect_list(F.struct("idx", "tf"))).alias("terms")))
+
+
 def document_frequencies(terms: DataFrame) -> DataFrame:
     """(idx, df): how many texts hold each index; one row per text and index comes in."""
     return terms.groupBy("idx").agg(F.count("*").alias("df"))
