@@ -10,6 +10,7 @@ from hashlib import sha256
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -189,25 +190,44 @@ def _index_of_known(word: str) -> int:
     return _index_of(word)
 
 
+def _counted(texts: pa.Array, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ends, indices, counts): of each text its words' indices, ascending, and how often they come."""
+    sizes, indices, counts = [0], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for one in texts:
+        words = Counter((one.as_py() or "").split())
+        at = np.fromiter((_index_of_known(w) if len(w) <= _KNOWN_LENGTH else _index_of(w) for w in words), np.int64, len(words)) % vocabulary
+        found, place = np.unique(at, return_inverse=True)
+        sizes.append(len(found))
+        indices.append(found)
+        counts.append(np.bincount(place, np.fromiter(words.values(), np.float64, len(words)), len(found)).astype(np.int64))
+    return np.cumsum(sizes), np.concatenate(indices), np.concatenate(counts)
+
+
+def _term_lists(ends: np.ndarray, indices: np.ndarray, counts: np.ndarray) -> pa.Array:
+    items = pa.StructArray.from_arrays([pa.array(indices, pa.int32()), pa.array(counts, pa.int64())], names=["idx", "tf"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
+
+
 def term_counts(text: Column, vocabulary: int = 100_000) -> Column:
     """Lower-cased words hashed into a vocabulary (``token_index``) and counted: an array of (idx, tf), ascending by index.
 
     A text's words are counted where it lies, so that no row per word is made.
     """
+    return sliced(lambda texts: _term_lists(*_counted(texts, vocabulary)), "array<struct<idx: int, tf: bigint>>", F.lower(text))
+
+
+def asked_term_counts(text: Column, asked: Broadcast, vocabulary: int = 100_000) -> Column:
+    """``term_counts`` of the indices that are in a broadcast array (all, if that is None), and ``said``: whether the text has any word."""
 
     def each(texts: pa.Array) -> pa.Array:
-        sizes, indices, counts = [0], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for one in texts:
-            words = Counter((one.as_py() or "").split())
-            at = np.fromiter((_index_of_known(w) if len(w) <= _KNOWN_LENGTH else _index_of(w) for w in words), np.int64, len(words)) % vocabulary
-            found, place = np.unique(at, return_inverse=True)
-            sizes.append(len(found))
-            indices.append(found)
-            counts.append(np.bincount(place, np.fromiter(words.values(), np.float64, len(words)), len(found)).astype(np.int64))
-        items = pa.StructArray.from_arrays([pa.array(np.concatenate(indices), pa.int32()), pa.array(np.concatenate(counts), pa.int64())], names=["idx", "tf"])
-        return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), items)
-
-    return sliced(each, "array<struct<idx: int, tf: bigint>>", F.lower(text))
+        ends, indices, counts = _counted(texts, vocabulary)
+        said = pa.array(np.diff(ends) > 0)
+        if asked.value is not None:
+            keep = np.isin(indices, asked.value)
+            ends, indices, counts = np.r_[0, np.cumsum(keep)][ends], indices[keep], counts[keep]
+        return pa.StructArray.from_arrays([said, _term_lists(ends, indices, counts)], names=["said", "terms"])
+
+    return sliced(each, "struct<said: boolean, terms: array<struct<idx: int, tf: bigint>>>", F.lower(text))
 
 
 def is_pdf_heading(text: Column, size: Column, bold: Column, body_size: Column) -> Column:

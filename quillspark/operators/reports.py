@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import term_counts, to_kst
+from quillspark.functions.text import asked_term_counts, term_counts, to_kst
 from quillspark.sources.store import apart
 
 TERMINAL = ("COMPLETED", "FAILED")
@@ -90,18 +91,19 @@ def term_frequencies(frame: DataFrame, ident: str, text: str, vocabulary: int =
     return counted(alone).unionByName(counted(others).groupBy(ident, "idx").agg(F.sum("tf").alias("tf")))
 
 
-def term_vectors(frame: DataFrame, ident: str, text: str, vocabulary: int = 100_000) -> DataFrame:
-    """(id, terms): one row per id with an array of (idx, tf), lower-cased words hashed into a vocabulary and counted.
+def term_vectors(frame: DataFrame, ident: str, text: str, asked: Broadcast, vocabulary: int = 100_000) -> DataFrame:
+    """(id, said, terms): one row per id with an array of (idx, tf) of the indices in ``asked``, and whether it has any word.
 
-    Words are counted within their row (``term_counts``). Only the counts of
-    ids that several rows have are shuffled, to be added up.
+    As ``term_frequencies``, without a row per word. Only the counts of ids
+    that several rows have are shuffled, to be added up.
     """
     alone, others = apart(frame.select(ident, text), [ident])
-    counted = alone.select(ident, term_counts(F.col(text), vocabulary).alias("terms"))
+    counted = lambda rows: rows.select(ident, asked_term_counts(F.col(text), asked, vocabulary).alias("t")).select(ident, "t.said", "t.terms")
     if others is None:
-        return counted
-    added = others.select(ident, F.inline(term_counts(F.col(text), vocabulary))).groupBy(ident, "idx").agg(F.sum("tf").alias("tf"))
-    return counted.unionByName(added.groupBy(ident).agg(F.sort_array(F.collect_list(F.struct("idx", "tf"))).alias("terms")))
+        return counted(alone)
+    flat = counted(others).select(ident, "said", F.inline_outer("terms")).groupBy(ident, "idx").agg(F.sum("tf").alias("tf"), F.bool_or("said").alias("said"))
+    listed = F.filter(F.collect_list(F.struct("idx", "tf")), lambda x: x["idx"].isNotNull())
+    return counted(alone).unionByName(flat.groupBy(ident).agg(F.bool_or("said").alias("said"), F.sort_array(listed).alias("terms")))
 
 
 def document_frequencies(terms: DataFrame) -> DataFrame:

@@ -6,12 +6,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.functions.slices import SLICE_BYTES, row_bytes, spans
 from quillspark.operators.joins import small
 from quillspark.operators.visibility import visible
 from quillspark.sources.store import stage
@@ -194,31 +192,10 @@ def _scored(texts: pd.DataFrame, queries: pd.DataFrame, k: int, most: int | None
     return pd.DataFrame({name: np.concatenate(x) if x else [] for name, x in out.items()})
 
 
-def _asked_for(vectors: DataFrame, queries: DataFrame) -> DataFrame:
-    """(id, said, idx, w): of texts of one row each, the terms that any query uses, and whether the text has any term.
-
-    Up to ``KNOWN_TERMS`` such indices go to the tasks; with more of them all terms are kept.
-    """
+def asked_indices(queries: DataFrame) -> Broadcast:
+    """The indices that queries use, sorted, for ``reports.term_vectors``; None if there are more than ``KNOWN_TERMS``."""
     asked = queries.select(F.col("idx").cast("long")).where("idx is not null").distinct().limit(KNOWN_TERMS + 1).toPandas().idx.to_numpy(np.int64)
-    sent = vectors.sparkSession.sparkContext.broadcast(np.sort(asked) if len(asked) <= KNOWN_TERMS else None)
-
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        terms, known = batch.column("terms"), sent.value
-        ends = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False).astype(np.int64))]
-        said, (idx, tf) = np.diff(ends) > 0, (x.to_numpy(zero_copy_only=False) for x in terms.flatten().flatten())
-        if known is not None:
-            keep = np.isin(idx, known)
-            ends, idx, tf = np.r_[0, np.cumsum(keep)][ends], idx[keep], tf[keep]
-        parts = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x)) for x in (idx.astype(np.int64), tf.astype(np.float64))]
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(said), *parts], names=["id", "said", "idx", "w"])
-
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, end in spans(row_bytes(batch.column("terms")), SLICE_BYTES):
-                yield each(batch.slice(start, end - start))
-
-    kinds = f"id {vectors.schema['id'].dataType.simpleString()}, said boolean, idx array<long>, w array<double>"
-    return vectors.select("id", "terms").mapInArrow(some, kinds)
+    return queries.sparkSession.sparkContext.broadcast(np.sort(asked) if len(asked) <= KNOWN_TERMS else None)
 
 
 def sparse_search(
@@ -233,9 +210,10 @@ def sparse_search(
     out of it; ``asking`` (query_id, marks) gives each query's own filter, as
     in ``dense_search``.
 
-    ``terms`` may also hold one row per text: (id, terms), an array of (idx, tf)
-    (``reports.term_vectors``). Such rows are read once and not shuffled; they
-    need not be staged.
+    ``terms`` may also hold one row per text (``reports.term_vectors``): (id,
+    said, terms), an array of (idx, tf) and whether the text has any term, as
+    those that no query uses may be left out. Such rows are read once and not
+    shuffled; they need not be staged.
 
     Each text is one row with those of its terms that any query uses, each
     query one row with its weights; they meet as in ``dense_search``. Within a
@@ -249,7 +227,7 @@ def sparse_search(
     pack = lambda frame, key, weight: frame.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("idx", weight.cast("double").alias("w")))).alias("t"))
     lists = [F.col("t.idx").cast("array<long>").alias("idx"), F.col("t.w").alias("w")]
     if "terms" in terms.columns:
-        held = stage(_asked_for(terms, queries), "used")
+        held = stage(terms.select("id", "said", F.col("terms.idx").cast("array<long>").alias("idx"), F.col("terms.tf").cast("array<double>").alias("w")), "used")
         count = held.where("said").count() if total is None else total
         rows = held.where(F.size("idx") > 0).drop("said")
         df = rows.select(F.explode("idx").alias("idx")).groupBy("idx").agg(F.count("*").alias("df"))

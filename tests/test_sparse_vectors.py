@@ -7,16 +7,15 @@ from quillspark.operators.reports import term_frequencies, term_vectors
 from test_guarded_search import brute, marked, may, people, texts_and_questions
 
 
-@pytest.mark.parametrize("known", [1 << 20, 3])
 @pytest.mark.parametrize("blocks", [8192, 5])
-def test_texts_of_one_row_are_ranked_alike(spark, monkeypatch, blocks, known):
+def test_texts_of_one_row_are_ranked_alike(spark, monkeypatch, blocks):
     monkeypatch.setattr(search, "QUERY_BLOCK", blocks)
-    monkeypatch.setattr(search, "KNOWN_TERMS", known)
     monkeypatch.setattr(search, "POINT_BLOCK", 60)
     held, questions = texts_and_questions(7)
     held |= {300: {}, 301: None}  # texts without words do not count as texts
-    rows = [(k, None if t is None else sorted(t.items())) for k, t in held.items()]
-    terms = spark.createDataFrame(rows, "id long, terms array<struct<idx: int, tf: bigint>>")
+    used = {i for t in questions.values() for i in t}  # of every second text, only these are left
+    rows = [(k, bool(t), None if t is None else [x for x in sorted(t.items()) if k % 2 or x[0] in used]) for k, t in held.items()]
+    terms = spark.createDataFrame(rows, "id long, said boolean, terms array<struct<idx: int, tf: bigint>>")
     asked = spark.createDataFrame([(k, i, tf) for k, t in questions.items() for i, tf in t.items()], "query_id long, idx int, tf int")
     held = {k: t for k, t in held.items() if t}
     points, queries = marked(spark, *(shown := people(9, 300, 12)))
@@ -33,15 +32,17 @@ def test_texts_of_one_row_are_ranked_alike(spark, monkeypatch, blocks, known):
     assert search.sparse_search(terms, asked.limit(0)).count() == 0 and search.sparse_search(terms.limit(0), asked).count() == 0
 
 
-def test_words_stay_in_their_row_and_unasked_ones_go(spark):
-    texts = spark.createDataFrame([(1, "a b b c"), (2, "c d"), (3, ""), (4, None), (2, "d e")], "id long, text string")
-    vectors = {r.id: {x.idx: x.tf for x in r.terms} for r in term_vectors(texts, "id", "text").collect()}
+def test_words_stay_in_their_row_and_unasked_ones_go(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "a b b c"), (2, "c d"), (3, ""), (4, None), (2, "d e"), (5, "x"), (6, ""), (6, "y")], "id long, text string")
     flat = {}
     for r in term_frequencies(texts, "id", "text").collect():
         flat.setdefault(r.id, {})[r.idx] = r.tf
-    assert {k: v for k, v in vectors.items() if v} == flat and len(flat[2]) == 3
     asked = term_frequencies(spark.createDataFrame([(7, "b d")], "query_id long, text string"), "query_id", "text")
-    kept = search._asked_for(term_vectors(texts.where("id <> 2"), "id", "text"), asked)
-    plan = kept._jdf.queryExecution().executedPlan().toString()
+    used = {r.idx for r in asked.collect()}
+    for known in (1 << 20, 1):  # beyond the bound all terms are kept
+        monkeypatch.setattr(search, "KNOWN_TERMS", known)
+        vectors = term_vectors(texts, "id", "text", search.asked_indices(asked))
+        got = {r.id: (r.said, [(x.idx, x.tf) for x in r.terms]) for r in vectors.collect()}
+        assert got == {k: (k in flat, sorted((i, n) for i, n in flat.get(k, {}).items() if known == 1 or i in used)) for k in range(1, 7)}
+    plan = term_vectors(texts.where("id not in (2, 6)"), "id", "text", search.asked_indices(asked))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
-    assert sorted((r.id, r.said, list(r.w)) for r in kept.collect()) == [(1, True, [2.0]), (3, False, []), (4, False, [])]
