@@ -1,15 +1,17 @@
 """Work on slices of Arrow batches, values computed once a row, and words counted where they lie."""
 
+import tracemalloc
 from collections import Counter
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from quillspark.functions import slices
 from quillspark.functions.text import computed_once, hash_embed_dense, term_counts
-from quillspark.operators.chunking import DRAFTS, chunk_pages, draft_lists, number_chunks
+from quillspark.operators.chunking import DRAFTS, chunk_pages, draft_lists, number_chunks, windows, windows_column
 from quillspark.operators.reports import term_frequencies
 from quillspark.plans import views
 from quillspark.queries import QUERIES
@@ -31,6 +33,30 @@ def test_slices_hold_few_bytes_and_every_row(spark):
     assert len(rows) == 64 and max(r.n for r in rows) <= 8
 
 
+@pytest.mark.parametrize(("column", "plain"), [(windows_column, windows)])
+def test_windows_and_pages_hold_a_slice(monkeypatch, column, plain):
+    made = []
+    monkeypatch.setattr(F, "arrow_udf", lambda each, kind: made.append(each) or (lambda *columns: None))
+    monkeypatch.setattr(slices, "SLICE_BYTES", 1 << 16)
+    column(None)
+    texts = ["\n".join(f"<p>{k} {n} {'word ' * 40}</p>" for n in range(k % 60)) for k in range(400)] + [None, ""]
+    batch = pa.array(texts)
+    first = made[0](iter([batch]))
+    assert len(next(first)) < len(batch) / 10  # before the rest of the batch is worked on
+    got = [x for part in made[0](iter([batch])) for x in part.to_pylist()]
+    assert got == [plain(x or "") for x in texts]
+    del got, first
+    peaks = []
+    for batches in (1, 3):
+        tracemalloc.start()
+        arrow, most = pa.total_allocated_bytes(), 0
+        for _ in made[0](iter([batch] * batches)):
+            most = max(most, pa.total_allocated_bytes() - arrow)
+        peaks.append(tracemalloc.get_traced_memory()[1] + most)
+        tracemalloc.stop()
+    assert max(peaks) < batch.nbytes / 2 and peaks[1] < 1.2 * peaks[0], (peaks, batch.nbytes)
+
+
 def test_drafts_as_arrow_values():
     assert draft_lists([[], [("a", None, True)], []]).to_pylist() == [[], [{"text": "a", "section_header": None, "is_atomic": True}], []]
     assert draft_lists([]).to_pylist() == [] and "is_atomic" in DRAFTS
