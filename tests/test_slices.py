@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.functions import slices
+from quillspark.functions.html import clean_html, render
 from quillspark.functions.text import computed_once, hash_embed_dense, term_counts
 from quillspark.operators.chunking import DRAFTS, chunk_pages, draft_lists, number_chunks, windows, windows_column
 from quillspark.operators.reports import term_frequencies
@@ -33,7 +34,7 @@ def test_slices_hold_few_bytes_and_every_row(spark):
     assert len(rows) == 64 and max(r.n for r in rows) <= 8
 
 
-@pytest.mark.parametrize(("column", "plain"), [(windows_column, windows)])
+@pytest.mark.parametrize(("column", "plain"), [(windows_column, windows), (clean_html, render)])
 def test_windows_and_pages_hold_a_slice(monkeypatch, column, plain):
     made = []
     monkeypatch.setattr(F, "arrow_udf", lambda each, kind: made.append(each) or (lambda *columns: None))
