@@ -49,3 +49,8 @@ def test_ratios_of_texts_with_any_character(spark, gaps):
     assert differ(spark, gaps, "fn08_max_char_ratio") == ([], [], 0)
     plan = QUERIES["fn08_max_char_ratio"](spark, gaps)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1  # counted once, not for the filter too
+
+
+@pytest.mark.parametrize("name", ["idx02_lookup_links", "idx02_ordered_index", "idx03_ingestion_results", "st01_stream_chunking"])
+def test_files_of_documents_without_text_are_read_by_extraction(spark, gaps, name):
+    assert differ(spark, gaps, name) == ([], [], 0)
